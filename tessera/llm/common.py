@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,3 +66,27 @@ def label_sample(labels: DataFrame, column: str, per_value: int, values: tuple[i
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def mapped(docs: DataFrame, run, results: str, carry: list[str]) -> DataFrame:
+    """Rows of docs with result columns that run(rows) computes from a struct array of whole rows.
+
+    The output has one struct column "row" with the carried columns of docs, so results never
+    clash with columns of the same name, and the result columns beside it.
+    """
+    kinds = [StructField(c, docs.schema[c].dataType) for c in carry]
+    schema = StructType([StructField("row", StructType(kinds)), *_parse_ddl(results)])
+    names = [f.name for f in schema]
+
+    def go(batches):
+        for batch in batches:
+            rows = batch.column("row")
+            kept = [pc.struct_field(rows, c) for c in carry]
+            row = pa.StructArray.from_arrays(kept, names=carry)
+            yield pa.RecordBatch.from_arrays([row, *run(rows)], names=names)
+
+    return docs.select(F.struct(*docs.columns).alias("row")).mapInArrow(go, schema)
+
+
+def _parse_ddl(ddl: str) -> list[StructField]:
+    return list(StructType.fromDDL(ddl))

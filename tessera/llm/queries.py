@@ -4,18 +4,82 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
-from .setsketch import near_duplicates
+from . import decontam, langid, quality, setsketch
+from .common import fold, table
+
+#: A document scored lower than this is taken for label 0.
+QUALITY_CUT = 0.3
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels only from rows whose fold of 5 is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
+    out = quality.scored(docs, model, carry=["doc_id"]).select("row.doc_id", "score")
+    return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    """Near-duplicate component of every document."""
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; labels only from rows whose fold of 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.build(langid.sample(docs, fold(F.col("doc_id"), 4) != 2))
+    out = langid.identify(docs, model, carry=["doc_id"]).select("row.doc_id", "lang_pred", "score")
+    return out.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_near_duplicates": op3_near_duplicates,
+    "op8_language": op8_language,
+    "op9_decontamination": op9_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # distinct five-word shingles, pairs that share one, exact overlap, reachability
+    "op3_near_duplicates": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS a FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(a, i, i + 4), ' ') AS g
+            FROM (SELECT doc_id, a, unnest(generate_series(1, greatest(len(a) - 4, least(len(a), 1)))) AS i FROM w)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+        e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        r AS (SELECT doc_id AS f, doc_id AS t FROM documents UNION SELECT r.f, u.b FROM r JOIN u ON u.a = r.t),
+        c AS (SELECT f, min(t) AS component_id FROM r GROUP BY 1)
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+        FROM documents d JOIN c ON c.f = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+    """,
+    "op9_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents),
+        t AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, least(len(a), 10) AS k, array_to_string(list_slice(a, i, i + 9), ' ') AS g
+            FROM (SELECT item_id, a, unnest(generate_series(1, greatest(len(a) - 9, least(len(a), 1)))) AS i FROM t)),
+        pos AS (SELECT doc_id, a, unnest(generate_series(1, len(a))) AS i FROM d),
+        occ AS (
+            SELECT p.doc_id, p.i, w.k, w.item_id
+            FROM pos p CROSS JOIN (SELECT DISTINCT k FROM win) l
+            JOIN win w ON w.k = l.k AND len(p.a) >= p.i + l.k - 1 AND array_to_string(list_slice(p.a, p.i, p.i + l.k - 1), ' ') = w.g),
+        hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS j FROM occ) GROUP BY 1),
+        it AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY 1)
+        SELECT d.doc_id, len(d.a)::BIGINT AS n_words, coalesce(hit.n_hit, 0)::BIGINT AS n_hit, coalesce(it.n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(it.ids, '')) AS items_sha256, coalesce(hit.n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+    """,
+}
