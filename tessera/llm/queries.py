@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, langid, quality, setsketch
+from . import decontam, langid, pii, quality, setsketch
 from .common import fold, table
 
 #: A document scored lower than this is taken for label 0.
@@ -26,6 +26,13 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    found = pii.find_spans(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    count = {k: F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS}
+    return found.select("row.doc_id", *count.values(), F.sha2(pii.span_text("base"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; labels only from rows whose fold of 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
@@ -42,6 +49,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_near_duplicates": op3_near_duplicates,
+    "op6_personal_data": op6_personal_data,
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
 }
