@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import decontam, langid, pii, quality, setsketch
 from .common import fold, table
@@ -29,8 +29,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and all spans."""
     found = pii.find_spans(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    count = {k: F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS}
-    return found.select("row.doc_id", *count.values(), F.sha2(pii.span_text("base"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("row.doc_id", *map(count, pii.KINDS), F.sha2(pii.span_text("base"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans"))
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
