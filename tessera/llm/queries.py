@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontam, langid, pii, quality, setsketch
+from . import decontam, langid, packing, pii, quality, setsketch
 from .common import fold, table
 
 #: A document scored lower than this is taken for label 0.
@@ -36,6 +36,11 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *map(count, pii.KINDS), F.sha2(pii.span_text("base"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of the permitted lengths."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; labels only from rows whose fold of 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_near_duplicates": op3_near_duplicates,
     "op6_personal_data": op6_personal_data,
+    "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
 }
