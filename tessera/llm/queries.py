@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontam, langid, packing, pii, quality, setsketch
+from . import decontam, langid, packing, pii, quality, setsketch, spotsigs
 from .common import fold, table
 
 #: A document scored lower than this is taken for label 0.
@@ -26,6 +26,12 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spotsigs.edited_likeness(table(spark, sf_dir, "documents"), blocks=blocks)
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and all spans."""
     found = pii.find_spans(table(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -57,13 +63,36 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_fingerprints": op4_fingerprints,
     "op6_personal_data": op6_personal_data,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
 }
 
+_ANCHORS = "[" + ", ".join(f"'{a}'" for a in spotsigs.ANCHORS) + "]"
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_fingerprints": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+        e AS (SELECT *, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nt, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS nid FROM d WINDOW w AS (ORDER BY doc_id)),
+        f AS (SELECT doc_id, nid, n, t, left(t, (n - n // 2)::BIGINT) || left(nt, (n // 2)::BIGINT) AS x FROM e),
+        b AS (SELECT doc_id, 1 AS k, t AS body FROM f UNION ALL SELECT doc_id, 2, x FROM f),
+        w AS (SELECT *, regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a, {_ANCHORS} AS s FROM b),
+        c AS (
+            SELECT *, list_filter(list_transform(list_filter(range(1, len(a) + 1), lambda i: list_contains(s, a[i])),
+                lambda i: a[i] || ':' || array_to_string(list_slice(list_filter(list_slice(a, i + 1, i + 8), lambda x: NOT list_contains(s, x)), 1, 2), ' ')), lambda g: contains(g, ' ')) AS g FROM w),
+        h AS (
+            SELECT doc_id, k, body, CASE
+                WHEN len(g) > 0 THEN g
+                WHEN len(a) > 2 THEN list_transform(range(1, len(a) - 1), lambda i: a[i] || ':' || a[i + 1] || ' ' || a[i + 2])
+                ELSE [body] END AS g FROM c),
+        p AS (SELECT doc_id, k, list_sort(list_distinct(list_transform(g, lambda x: md5(x)[1:8]))) AS q FROM h)
+        SELECT f.doc_id, f.n AS n_chars, sha256(f.x) AS edited_sha256, array_to_string(a.q, ' ') AS fingerprint, array_to_string(b.q, ' ') AS edited_fingerprint,
+               len(list_intersect(a.q, b.q)) / (len(a.q) + len(b.q) - len(list_intersect(a.q, b.q)))::DOUBLE AS near_edited,
+               len(list_intersect(a.q, c.q)) / (len(a.q) + len(c.q) - len(list_intersect(a.q, c.q)))::DOUBLE AS near_next
+        FROM f JOIN p a ON a.doc_id = f.doc_id AND a.k = 1 JOIN p b ON b.doc_id = f.doc_id AND b.k = 2 JOIN p c ON c.doc_id = f.nid AND c.k = 1
+    """,
     # distinct five-word shingles, pairs that share one, exact overlap, reachability
     "op3_near_duplicates": r"""
         WITH RECURSIVE w AS (
