@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontam, langid, packing, pii, quality, setsketch, spotsigs
-from .common import fold, table
+from . import decontam, langid, licenses, packing, pii, quality, rollups, setsketch, spotsigs
+from .common import fold, table, work_path
 
 #: A document scored lower than this is taken for label 0.
 QUALITY_CUT = 0.3
@@ -21,6 +21,27 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
+def _rolled_up(spark: SparkSession, counts: DataFrame) -> DataFrame:
+    """Totals of a fresh rollup after loading the counts, a second attempt at the same load, and a compaction."""
+    rollup = rollups.TokenRollup(spark, work_path(spark, "rollup"))
+    rollup.commit("load", rollups.inserts(counts))
+    rollup.commit("load", rollups.inserts(counts))  # a retried job: committed already, nothing is added
+    rollup.compact("compact-1")
+    return rollup.totals()
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, tokens and characters by source, language and tokenizer version."""
+    return _rolled_up(spark, rollups.token_counts(table(spark, sf_dir, "documents"), rollups.TOKENIZERS))
+
+
+def op2_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rollup over plain words, which SQL can check."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    counts = table(spark, sf_dir, "documents").select("source", "lang", F.lit("words-1").alias("tokenizer"), packing.word_count(text).alias("n_tokens"), F.length(text).cast("long").alias("n_chars"))
+    return _rolled_up(spark, counts)
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
@@ -32,6 +53,11 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(table(spark, sf_dir, "documents"), blocks=blocks)
 
 
+def op5_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.license_spans(table(spark, sf_dir, "documents"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and all spans."""
     found = pii.find_spans(table(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -62,8 +88,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_token_counts": op2_token_counts,
+    "op2_word_counts": op2_word_counts,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_fingerprints": op4_fingerprints,
+    "op5_license_spans": op5_license_spans,
     "op6_personal_data": op6_personal_data,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
@@ -73,6 +102,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _ANCHORS = "[" + ", ".join(f"'{a}'" for a in spotsigs.ANCHORS) + "]"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_word_counts": r"""
+        SELECT source, lang, 'words-1' AS tokenizer, count(*)::BIGINT AS n_docs,
+               sum(len(regexp_extract_all(coalesce(text, ''), '\S+')))::BIGINT AS n_tokens, sum(length(coalesce(text, '')))::BIGINT AS n_chars
+        FROM documents GROUP BY source, lang
+    """,
     "op4_fingerprints": rf"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
         e AS (SELECT *, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nt, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS nid FROM d WINDOW w AS (ORDER BY doc_id)),
