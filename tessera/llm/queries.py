@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontam, langid, licenses, packing, pii, quality, rollups, setsketch, spotsigs
+from . import decontam, html_extract, langid, licenses, packing, pii, quality, rollups, setsketch, spotsigs
 from .common import fold, table, work_path
 
 #: A document scored lower than this is taken for label 0.
@@ -86,6 +86,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.main_content(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
+    "op10_main_text": op10_main_text,
 }
 
 _ANCHORS = "[" + ", ".join(f"'{a}'" for a in spotsigs.ANCHORS) + "]"
