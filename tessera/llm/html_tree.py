@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORD = re.compile(r"[a-z]+")
-_SPACE = re.compile(r"[ \t\n\r\f\v ]+")
+_SPACE = re.compile(r"\s+")
 RAW = frozenset(("script", "style", "noscript", "template", "textarea", "svg", "math", "iframe", "object", "title"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
