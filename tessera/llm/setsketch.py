@@ -5,9 +5,10 @@ spaced truncated minima. Equal registers in a band make two documents candidates
 likelihood of the register comparison estimates their similarity, and survivors are confirmed
 on their full sets.
 
-Groups of any size stay linear: documents with equal sets are one representative, a bucket
-proposes links to one leader first, and pairs inside a bucket are formed only between
-documents that are not yet known to be in the same component.
+Groups of any size stay linear: documents with equal sets are one representative, and a bucket
+proposes links to its most central member first. What then still shares a bucket across
+components is joined exactly, on the rarest shingles of each set: two sets that are similar
+enough must share one of those, so no pairs are formed on what a whole group has in common.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import written
 from .components import components
@@ -27,6 +28,8 @@ from .textnum import SPACED, mix, pieces, shingle_sets, utf8, words
 ROWS, BANDS = 5, 45
 #: Registers; prime, so that any stride visits each register once.
 M = 227
+#: Rounds in which each document is compared with one more leader.
+STARS = 2
 #: Base and rate of the truncated minima; registers are 0..65535.
 BASE, RATE = 1.001, 20.0
 #: Estimates this far below the threshold are six standard errors off.
@@ -157,6 +160,40 @@ def _confirmed(size: int, percent: int):
     return run
 
 
+def _shingle_rows(size: int):
+    def run(batches):
+        for batch in batches:
+            ids, labels = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "label"))
+            for i, j, sets, borders in _text_sets(batch.column("text"), size):
+                n = np.diff(borders)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[i:j], n)), pa.array(np.repeat(labels[i:j], n)), pa.array(np.repeat(n, n)), pa.array(sets.view(np.int64))], names=["id", "label", "n", "token"])
+
+    return run
+
+
+def _prefix_pairs(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of docs (id, label, text) of different labels that can be similar enough.
+
+    The shingles of each set stand in one order, rarest first. If the first common shingle of two
+    sets is at place p of n in one of them, they share at most n - p + 1, which bounds the size m
+    of the other: m <= (n - p + 1) * (100 + percent) / percent - n. Only places whose bound some
+    other holder of the shingle meets, and shingles held across labels, take part in the join.
+    """
+    rows = docs.mapInArrow(_shingle_rows(size), "id long, label long, n long, token long")
+    rows = written(rows, "shingles")
+    often = rows.groupBy("token").agg(F.count("*").alias("f"))
+    placed = rows.join(often, "token").withColumn("p", F.row_number().over(Window.partitionBy("id").orderBy("f", "token")))
+    placed = placed.withColumn("most", F.expr(f"(n - p + 1) * {100 + percent} div {percent} - n")).filter(f"f > 1 and 100 * most >= {percent} * n").select("id", "label", "n", "token", "most")
+    placed = written(placed, "prefixes")
+    for _ in range(2):  # the second time without what the first has dropped
+        held = placed.groupBy("token").agg(F.min("n").alias("least"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("token", "least")
+        placed = placed.join(held, "token").filter("most >= least").select("id", "label", "n", "token", "most")
+    placed = written(placed, "prefixes")
+    one, two = (placed.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "label", "n", "most"))) for s in "ab")
+    fits = "id_a < id_b and label_a <> label_b and n_a <= most_b and n_b <= most_a"
+    return one.join(two, "token").filter(fits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -172,8 +209,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = sized.groupBy("s1", "s2").agg(F.min("id").alias("rep"))
     sketches = written(sized.select("id", "n_shingles", "regs").join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "sketches")
     bands = sketches.mapInArrow(_band_keys, "key long, id long")
-    full = bands.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("key", "lead")
-    buckets = written(bands.join(full, "key").select("key", "id", "lead"), "buckets")
+    full = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = written(bands.join(full, "key"), "buckets")
+    weight = buckets.groupBy("id").agg(F.sum("n").alias("w"))
+    leads = buckets.join(weight, "id").groupBy("key").agg(F.max_by("id", F.struct("w", F.negative("id"))).alias("lead"))
+    met = written(buckets.join(leads, "key").filter("id <> lead").groupBy("id", "lead").count(), "met")
     texts = written(base.join(buckets.select("id").distinct(), "id", "left_semi"), "texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -190,26 +230,32 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         got = labels.select(F.col("id").alias(col), F.col("label").alias(out))
         return side.join(got, col, "left").withColumn(out, F.coalesce(out, col))
 
-    # each document against the leader it meets in most buckets
-    met = buckets.filter("id <> lead").groupBy("id", "lead").count()
-    tested = written(met.groupBy("id").agg(F.max_by("lead", F.struct("count", F.negative("lead"))).alias("lead")).select(F.col("lead").alias("a"), F.col("id").alias("b")), "tested")
-    links = [linked(tested)]
-    labels = components(links[0])
-    # then against its other leaders, where they are of another component
-    rest = labelled(labels, labelled(labels, met.select(F.col("lead").alias("a"), F.col("id").alias("b")), "a", "la"), "b", "lb").filter("la <> lb").select("a", "b")
-    more = written(rest.join(tested, ["a", "b"], "left_anti"), "tested")
-    if not more.isEmpty():
-        links.append(linked(more))
-        labels = components(reduce(DataFrame.union, links))
-    # last, all pairs of a bucket that are of different components and not yet tested
-    parts = labelled(labels, buckets.select("key", "id"), "id", "label")
-    mixed = parts.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
-    parts = written(parts.join(mixed, "key"), "mixed")
-    if not parts.isEmpty():
-        one, two = (parts.select("key", F.col("id").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
-        pairs = one.join(two, "key").filter("a < b and la <> lb").select("a", "b").distinct()
-        links.append(linked(pairs.join(tested, ["a", "b"], "left_anti").join(more, ["a", "b"], "left_anti")))
+    # each document against the leaders it meets in most buckets
+    links, tested, labels = [], None, None
+    for _ in range(STARS):
+        left = met
+        if labels is not None:
+            left = labelled(labels, labelled(labels, met, "id", "li"), "lead", "ll").filter("li <> ll")
+            left = left.join(tested.select(F.col("a").alias("lead"), F.col("b").alias("id")), ["id", "lead"], "left_anti")
+        best = F.max_by("lead", F.struct("count", F.negative("lead")))
+        pairs = written(left.groupBy("id").agg(best.alias("lead")).select(F.col("lead").alias("a"), F.col("id").alias("b")), "tested")
+        if pairs.isEmpty():
+            break
+        tested = pairs if tested is None else tested.union(pairs)
+        links.append(linked(pairs))
         labels = components(reduce(DataFrame.union, links))
+    # then, exactly, all that share a bucket across components
+    if tested is not None:
+        parts = labelled(labels, buckets.select("key", "id"), "id", "label")
+        mixed = parts.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+        open_docs = written(parts.join(mixed, "key", "left_semi").select("id", "label").distinct(), "open")
+        if not open_docs.isEmpty():
+            pairs = _prefix_pairs(texts.join(open_docs, "id"), size, percent)
+            both = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            links.append(linked(pairs.join(both, ["a", "b"], "left_anti")))
+            labels = components(reduce(DataFrame.union, links))
+    else:
+        labels = classes.select(F.col("rep").alias("id"), F.col("rep").alias("label")).limit(0)
     owners = labelled(labels, classes, "rep", "label").select("s1", "s2", "label")
     out = feats.select("id", "n_shingles", "s1", "s2").join(owners, ["s1", "s2"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("label", "id")).otherwise(F.col("id"))
