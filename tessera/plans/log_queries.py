@@ -242,10 +242,10 @@ def integrity_hash_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @add("""
     WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS rank FROM customer),
-    q AS (SELECT *, rank - 1 AS at FROM r)
+    q AS (SELECT *, rank - 1 AS k FROM r)
     SELECT c_custkey, rank::BIGINT AS rank, CASE
-        WHEN at < 30 THEN ['a', 'b', 'c'][(at % 3 + 1)::INT] WHEN at < 30 + 30 THEN ['b', 'c'][((at - 30) % 2 + 1)::INT] WHEN at < 60 + 15 THEN 'c' END AS account
-    FROM q WHERE at < 75
+        WHEN k < 30 THEN ['a', 'b', 'c'][(k % 3 + 1)::INT] WHEN k < 30 + 30 THEN ['b', 'c'][((k - 30) % 2 + 1)::INT] WHEN k < 60 + 15 THEN 'c' END AS account
+    FROM q WHERE k < 75
 """)
 def quota_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranked rows dealt round-robin to accounts with quota left."""
