@@ -101,12 +101,13 @@ def build(samples: dict[str, str]) -> LanguageModel:
     tables = []
     for name in names:
         go, count = automaton(texts[name])
-        table = np.full((count, width), 0, dtype=np.uint32)
-        root = np.full(width, _BREAK, dtype=np.uint32)  # a letter the sample lacks is a phrase of its own
+        # one more state follows a letter the sample lacks, which is a phrase of its own
+        root = np.full(width, count, dtype=np.uint32)
         for c, to in go[0].items():
             if c in number:
                 root[number[c]] = to
-        table[:] = root | _BREAK
+        table = np.tile(root | _BREAK, (count + 1, 1))
+        table[0] = root  # only the start of a piece is in state 0, where a phrase is open already
         for s, edges in enumerate(go):
             for c, to in edges.items():
                 if c in number:
