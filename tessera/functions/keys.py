@@ -74,8 +74,8 @@ def partial_date(year: Column, month: Column, day: Column) -> Column:
     """Date of a year and perhaps month (number or English name) and day; missing parts are the first."""
     # English month abbreviations.
     names = "JanFebMarAprMayJunJulAugSepOctNovDec"
-    named = (F.floor((F.locate(F.initcap(F.substring(month, 1, 3)), F.lit(names)) - 1) / 3) + 1).cast("int")
-    number = F.when(month.rlike(r"^\d+$"), month.cast("int")).when(F.locate(F.initcap(F.substring(month, 1, 3)), F.lit(names)) > 0, named).otherwise(F.lit(1))
+    at = F.instr(F.lit(names), F.initcap(F.substring(month, 1, 3)))
+    number = F.when(month.rlike(r"^\d+$"), month.try_cast("int")).when(at > 0, (F.floor((at - 1) / 3) + 1).cast("int")).otherwise(F.lit(1))
     return F.make_date(year.cast("int"), F.coalesce(number, F.lit(1)), F.coalesce(day.cast("int"), F.lit(1)))
 
 
