@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.functions.keys import bucket_of, kind_of, number_of, prefix_of
-from tessera.operators import graph, refresh
+from tessera.operators import graph, order, refresh
 
 from .base import HOLDINGS_SQL, LINKS_SQL, Catalogue, holdings, links, node, table
 
@@ -158,7 +158,7 @@ def absent_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 def natural_order_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Natural order: prefix, length, text."""
     keys = table(spark, sf_dir, "customer").select(F.col("c_name").alias("key"))
-    return refresh.natural_rank(keys, "key").select(F.substring("key", 1, 8).alias("prefix"), "key", "place")
+    return order.natural_rank(keys, "key").select(F.substring("key", 1, 8).alias("prefix"), "key", "place")
 
 
 @add("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.functions.keys import number_of, prefix_of
-from tessera.operators import refresh
+from tessera.operators import order, refresh
 
 from .base import Catalogue, node, table
 
@@ -78,7 +78,7 @@ def experiment_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select(node("SUP", "s_suppkey").alias("accession"), F.lit("public").alias("status"))
     b = table(spark, sf_dir, "lineitem").filter("l_quantity > 49").select(node("SUP", "l_suppkey"), F.lit("public"))
     c = table(spark, sf_dir, "orders").filter("o_totalprice > 490000").select(node("CUS", "o_custkey"), F.lit("listed"))
-    return refresh.natural_rank(a.union(b).union(c).distinct(), "accession").select("accession", "status", "place")
+    return order.natural_rank(a.union(b).union(c).distinct(), "accession").select("accession", "status", "place")
 
 
 @add("""

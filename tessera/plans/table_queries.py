@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.functions import fields
 from tessera.functions.keys import hash_share, human_size, in_sample
-from tessera.operators import copies, papers
+from tessera.operators import copies, order, papers
 
 from .base import Catalogue, table
 
@@ -134,20 +134,8 @@ def filter_aggs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @add("SELECT k::BIGINT AS k, (SELECT quantile_disc(c_name, k / 8.0) FROM customer) AS cut FROM range(1, 8) t(k)".replace("(SELECT quantile_disc(c_name, k / 8.0) FROM customer)", "(SELECT list(c_name ORDER BY c_name)[ceil(k * count(*) / 8.0)::BIGINT] FROM customer)"))
 def quantile_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact discrete quantiles of a text key.
-
-    Keys are counted by their first eleven characters, the running count over these few hundred
-    groups tells in which group each cut lies, and only those groups are ranked.
-    """
-    names = table(spark, sf_dir, "customer").select("c_name").withColumn("g", F.substring("c_name", 1, 16))
-    groups = names.groupBy("g").agg(F.count("*").alias("n"))
-    w = Window.partitionBy(F.lit(0)).orderBy("g")
-    spans = groups.withColumn("hi", F.sum("n").over(w)).withColumn("lo", F.col("hi") - F.col("n"))
-    total = groups.agg(F.sum("n").alias("total"))
-    cuts = spark.range(1, 8).select(F.col("id").alias("k")).crossJoin(F.broadcast(total)).select("k", F.ceil(F.col("k") * F.col("total") / 8).alias("rank"))
-    where = spans.join(F.broadcast(cuts), (F.col("rank") > F.col("lo")) & (F.col("rank") <= F.col("hi"))).select("g", "lo", "k", "rank")
-    ranked = names.join(where.select("g", "lo").distinct(), "g").withColumn("at", F.row_number().over(Window.partitionBy("g").orderBy("c_name")) + F.col("lo"))
-    return ranked.join(where.select("g", "k", "rank"), "g").filter("at = rank").select("k", F.col("c_name").alias("cut"))
+    """Exact discrete quantiles of a text key."""
+    return order.quantiles(table(spark, sf_dir, "customer"), "c_name", 8)
 
 
 _SAMPLE_SQL = "('0x' || substr(md5('round:' || o_orderkey), 1, 15))::BIGINT"

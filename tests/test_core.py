@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera import schema
 from tessera.functions import fields, keys, text as tx
-from tessera.operators import copies, graph, log, papers, parse, refresh, verify
+from tessera.operators import copies, graph, log, order, papers, parse, refresh, verify
 from tessera.sources import readers
 from tessera.sources.tables import Versions, write_table
 from tessera.store import Store, subset
@@ -130,6 +130,16 @@ def test_quota_is_dealt_like_a_loop(spark):
     assert [r.account for r in refresh.dealt_quota(ranked, accounts, "rank").orderBy("rank").collect()] == want
 
 
+def test_ranks_over_ranges(spark):
+    rows = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("v"), F.concat(F.lit("K"), F.col("id").cast("string")).alias("key")).repartition(7)
+    assert order.ranked(rows, [F.col("v")]).filter("rank <> v").count() == 0
+    assert {(r.k, r.cut) for r in order.quantiles(rows, "v", 4).collect()} == {(1, 249), (2, 499), (3, 749)}
+    assert {(r.k, r.cut) for r in order.quantiles(rows.limit(0), "v", 4).collect()} == set()
+    assert {(r.k, r.cut) for r in order.quantiles(rows.filter("v = 5"), "v", 3).collect()} == {(1, 5), (2, 5)}
+    got = [r.key for r in order.natural_rank(rows.select("key"), "key").orderBy("place").collect()]
+    assert got == [f"K{k}" for k in range(1000)]
+
+
 def test_paper_rules(spark):
     rows = spark.createDataFrame([(1, "x"), (2, "y")], "k int, word string")
     papers.check_rules(rows, ["k"], ["word"], {"word": ["x", "y"]})
