@@ -29,6 +29,18 @@ def test_quality_separates_held_out_labels(spark):
     assert sum((got[k] >= 0.5) == (k % 3 > 0) for k in held) / len(held) > 0.95
 
 
+def test_calibration_reaches_its_optimum():
+    rng = np.random.default_rng(1)
+    for n in (200, 5000):
+        a, b = rng.normal(0.05, 0.01, n), rng.normal(6, 1, n)
+        x = np.stack([np.ones(n), a, a * b, 0.3 + a, (0.3 + a) ** 2, b], axis=1)
+        y = (rng.random(n) < 1 / (1 + np.exp(-(400 * (a - 0.04))))).astype(float)
+        w = quality._logistic(x, y)
+        p = 1 / (1 + np.exp(-(x @ w)))
+        assert abs((p - y).sum()) < 0.5
+        assert abs(((p - y) * a).sum()) < 0.05 and abs(((p - y) * b).sum()) < 2
+
+
 def test_quality_of_no_labels_and_no_documents(spark):
     docs, labels, _ = labelled(spark)
     model = quality.fit(docs, labels.limit(0), F.lit(True))
