@@ -258,5 +258,5 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         labels = classes.select(F.col("rep").alias("id"), F.col("rep").alias("label")).limit(0)
     owners = labelled(labels, classes, "rep", "label").select("s1", "s2", "label")
     out = feats.select("id", "n_shingles", "s1", "s2").join(owners, ["s1", "s2"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.coalesce("label", "id")).otherwise(F.col("id"))
+    own = F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("label", "id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", own.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
