@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import label_sample, mapped
+from .common import label_sample, mapped, written
 
 #: Labelled rows used for each label value, at most.
 PER_LABEL = 3000
@@ -114,18 +114,24 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, keep: Column, *, text_col: str = "text", per_label: int = PER_LABEL) -> QualityModel:
     """Model from at most per_label rows of each label, chosen by hash order among the labels rows that `keep` allows.
 
-    Two thirds of the documents make the dictionaries, one third the calibration. Dictionaries
-    are trained in tasks; only they and three sizes for each calibration row reach the driver.
+    Two thirds of the documents, without the lines that stand under both labels, make the
+    dictionaries, one third the calibration. Dictionaries are trained in tasks; only they and three sizes for each calibration row reach the driver.
     """
     chosen = F.broadcast(label_sample(labels, "quality", per_label, (0, 1), keep))
     texts = docs.select(F.col("doc_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null").join(chosen, "doc_id")
-    texts = texts.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)))
+    # at most per_label rows of each label: read from the whole table once
+    texts = written(texts.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3))), "labelled")
+
+    # lines that stand under both labels tell nothing, and a dictionary that holds one would decide short texts
+    lines = texts.filter("part > 0").select("doc_id", "label", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    both = lines.filter("trim(line) <> ''").groupBy("line").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("line")
+    told = lines.join(both, "line", "left_anti").groupBy("label", "doc_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("at", "line")))["line"], "\n").alias("text"))
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "text"])
         return pd.DataFrame({"label": frame["label"].iloc[:1], "dictionary": [_dictionary(list(frame["text"]))]})
 
-    made = {r.label: r.dictionary and bytes(r.dictionary) for r in texts.filter("part > 0").groupBy("label").applyInPandas(train, "label int, dictionary binary").collect()}
+    made = {r.label: r.dictionary and bytes(r.dictionary) for r in told.groupBy("label").applyInPandas(train, "label int, dictionary binary").collect()}
     model = QualityModel(made.get(0), made.get(1), np.zeros(6))
 
     def measure(rows: pa.StructArray) -> list[pa.Array]:

@@ -29,6 +29,15 @@ def test_quality_separates_held_out_labels(spark):
     assert sum((got[k] >= 0.5) == (k % 3 > 0) for k in held) / len(held) > 0.95
 
 
+def test_a_line_under_both_labels_decides_nothing(spark):
+    docs, labels, rows = labelled(spark)
+    line = sentence(random.Random(5), 12)
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.concat("text", F.lit("\n" + line))).otherwise(F.col("text")))
+    model = quality.fit(docs, labels, F.lit(True))
+    assert model.good and model.bad
+    assert line.encode() not in model.good and line.encode() not in model.bad
+
+
 def test_calibration_reaches_its_optimum():
     rng = np.random.default_rng(1)
     for n in (200, 5000):
