@@ -208,3 +208,12 @@ def test_stream_equals_batch(spark, tmp_path):
     assert {(r.k, r.v) for r in table.read().collect()} == {("a", "2"), ("c", "1")}
     table.upsert(spark.createDataFrame(rows[2:], kind), 1)  # a replayed batch
     assert {(r.k, r.v) for r in table.read().collect()} == {("a", "2"), ("c", "1")}
+
+
+def test_walks_deeper_than_the_merge_of_rounds(spark):
+    n = graph.MERGE + 3
+    chain = spark.createDataFrame([(f"A{k:02}", f"A{k + 1:02}", "r") for k in range(n)], "from string, to string, relation string")
+    roots = spark.createDataFrame([("A00",)], "key string")
+    want = {f"A{k:02}" for k in range(n + 1)}
+    assert [r.key for r in graph.closure(chain, roots, ["r"]).orderBy("key").collect()] == sorted(want)
+    assert [r.node for r in graph.walk(chain, roots, [("A", "r", False)]).orderBy("node").collect()] == sorted(want)
