@@ -4,7 +4,8 @@ The patterns give base spans. Every number or address in the text is then a node
 neighbours in the text are joined by chain edges, distant mentions that repeat or resemble each
 other (same last digits, same mailbox name) by skip edges. Base spans are observed labels; loopy
 sum-product messages carry them to the other mentions, so a bare repeat of a phone number that
-stands elsewhere in full is found, and a lone look-alike is not.
+stands elsewhere in full is found, and a lone look-alike is not. A text without base spans is
+scored as well, by the looks of its mentions and their repeats.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SURE = 0.9
 ROUNDS, DAMPING = 12, 0.3
 #: Generated documents that the field is trained on.
 TRAINING_DOCS = 1500
+#: Nodes of several texts whose messages are passed together.
+FLIGHT = 50_000
 
 _DIGIT = re.compile("[0-9]")
 _MAILBOX = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -35,6 +38,8 @@ _MAILBOX = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_HOST = re.compile(r"(?:@|[\[(]at[\])] ?)[A-Za-z0-9.-]*[A-Za-z0-9-]\.[A-Za-z]")
+_NATIONAL = re.compile(r"\([0-9]{3}\)[ -]?[0-9]{3}[ -][0-9]{4}|\(0[0-9]{1,4}\)[ -]?[0-9]{3,5}[ -]?[0-9]{3,5}")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # mailboxes and words with digits are tried only where a word starts, or goes on after a number: linear in long words
 _NODE = re.compile(
@@ -97,7 +102,7 @@ def _features(s: str) -> list[float]:
     quad = len(parts) == 4 and all(p.isdigit() and p.isascii() and len(p) <= 3 and int(p) <= 255 for p in parts)
     size = [float(lo <= n <= hi) for lo, hi in ((0, 3), (4, 6), (7, 9), (10, 11), (12, 13), (14, 19), (20, 10**9))]
     letters = any(c.isalpha() for c in s)
-    return [1.0, *size, float("@" in s), float("at]" in s or "at)" in s), float(quad), float(s.startswith("+")), float("(" in s or ")" in s), float("-" in s or " " in s), float(letters), float(14 <= n <= 19 and not letters and luhn(digits))]
+    return [1.0, *size, float("@" in s), float("at]" in s or "at)" in s), float(bool(_HOST.search(s))), float(quad), float(s.startswith("+")), float("(" in s or ")" in s), float(bool(_NATIONAL.fullmatch(s))), float("-" in s or " " in s), float(letters), float(14 <= n <= 19 and not letters and luhn(digits))]
 
 
 def _keys(s: str) -> list[str]:
@@ -199,6 +204,15 @@ def _generated(count: int, seed: int) -> list[tuple[str, list[Span]]]:
         d = digits(15)
         return next(d + c for c in "0123456789" if luhn(d + c))
 
+    def hidden() -> list[tuple[str, str]]:
+        """Mentions of an entity that has none of the patterns' forms: a written-out mailbox, a national phone number."""
+        if rng.random() < 0.5:
+            at = rng.choice((" [at] ", " (at) ", "[at]", "(at)"))
+            m = ("email", f"{word()}{rng.choice((digits(2), '', '.' + word()))}{at}{word()}.{rng.choice(('com', 'org', 'example.net'))}")
+        else:
+            m = ("phone", rng.choice((f"({digits(3)}) {digits(3)}-{digits(4)}", f"({digits(3)}) {digits(3)} {digits(4)}", f"(0{digits(3)}) {digits(rng.randint(6, 8))}")))
+        return [m] * rng.randint(1, 3)
+
     def entity() -> list[tuple[str, str]]:
         kind = rng.choice(KINDS)
         if kind == "email":
@@ -215,7 +229,7 @@ def _generated(count: int, seed: int) -> list[tuple[str, list[Span]]]:
         return [(kind, f"+1 ({a}) {b}-{c}"), (kind, rng.choice((f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{b}-{c}")))]
 
     def other() -> str:
-        return rng.choice((str(rng.randint(0, 9999)), f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"v{rng.randint(1, 9)}.{rng.randint(0, 20)}", f"{rng.randint(1, 9)}.{rng.randint(0, 20)}.{rng.randint(0, 9)}", digits(7), digits(8), digits(10), digits(16), f"{digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", "".join(rng.choice("0123456789abcdef") for _ in range(40)), f"{word()}{digits(2)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{word()}.{digits(2)}", f"x@{word()}"))
+        return rng.choice((str(rng.randint(0, 9999)), f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"v{rng.randint(1, 9)}.{rng.randint(0, 20)}", f"{rng.randint(1, 9)}.{rng.randint(0, 20)}.{rng.randint(0, 9)}", digits(7), digits(8), digits(10), digits(16), f"{digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", "".join(rng.choice("0123456789abcdef") for _ in range(40)), f"{word()}{digits(2)}", f"({rng.randint(1, 999)})", f"({rng.randint(1, 2030)}) " + " ".join(str(rng.randint(1, 999)) for _ in range(rng.randint(2, 5))), f"{word()}.{digits(2)}", f"x@{word()}", f"{word()} {rng.choice(('(at)', '[at]'))} {word()}{rng.choice(('', '.'))}"))
 
     out = []
     for _ in range(count):
@@ -225,6 +239,9 @@ def _generated(count: int, seed: int) -> list[tuple[str, list[Span]]]:
             bits.insert(rng.randint(0, len(bits)), full)
             if rng.random() < 0.6:
                 bits.insert(rng.randint(0, len(bits)), bare)
+        if rng.random() < 0.3:
+            for m in hidden():
+                bits.insert(rng.randint(0, len(bits)), m)
         for _ in range(rng.randint(0, 4)):
             o = ("", other())
             for _ in range(rng.randint(1, 2)):
@@ -272,15 +289,15 @@ def trained(count: int = TRAINING_DOCS, seed: int = 20) -> Field:
 def all_spans(texts: list[str | None], field: Field) -> list[tuple[list[Span], list[Span]]]:
     """Base spans, and base spans with those the field adds, of each whole text."""
     base = [base_spans(t or "") for t in texts]
+    more: dict[int, list[Span]] = {}
     graph = Graph([], [], [], [], [], [])
     for k, t in enumerate(texts):
-        if base[k]:  # the field spreads observed labels; a text without any gives it nothing to spread
-            add_nodes(graph, k, t or "", base[k])
-    more: dict[int, list[Span]] = {}
-    if graph.doc:
-        p = marginals(graph, field)
-        for i in np.flatnonzero((np.array(graph.observed) < 0) & (p[:, 1:].max(axis=1) >= SURE)).tolist():
-            more.setdefault(graph.doc[i], []).append((KINDS[int(p[i, 1:].argmax())], *graph.spans[i]))
+        add_nodes(graph, k, t or "", base[k])
+        if graph.doc and (len(graph.doc) >= FLIGHT or k == len(texts) - 1):
+            p = marginals(graph, field)
+            for i in np.flatnonzero((np.array(graph.observed) < 0) & (p[:, 1:].max(axis=1) >= SURE)).tolist():
+                more.setdefault(graph.doc[i], []).append((KINDS[int(p[i, 1:].argmax())], *graph.spans[i]))
+            graph = Graph([], [], [], [], [], [])
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     return [(b, sorted(b + more[k], key=order) if k in more else b) for k, b in enumerate(base)]
 

@@ -69,3 +69,39 @@ def test_rows_and_masks(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in clean.collect()}
     assert got[0][0] is None and got[2] == ("mail [EMAIL] now", 16) and got[3][0] == "ip [IP] and 300.1.1.1"
     assert pii.masked(docs.limit(0)).count() == 0
+
+
+def test_texts_without_base_spans_are_scored():
+    field = pii.trained()
+    found = {
+        "write to jane.doe77 [at] host.org, please": [("email", "jane.doe77 [at] host.org")],
+        "call (212) 555-0147 at noon, or at night (212) 555-0147": [("phone", "(212) 555-0147")] * 2,
+    }
+    for text, want in found.items():
+        base, spans = pii.all_spans([text], field)[0]
+        assert base == [] and [(k, text[a:b]) for k, a, b in spans] == want
+    for clean in ("look (at) this. or look (at) home", "id 444-5555 and 444-5555", "order 1234567890 or 1234567890", "see (1990) 45 23 119 and (12) 7 8", "1999 1999 1999", ""):
+        assert pii.all_spans([clean], field)[0] == ([], []), clean
+
+
+def test_the_field_errs_seldom_on_unseen_texts():
+    """Without base spans and with them, of generated texts that it was not trained on."""
+    field = pii.trained()
+    right, wrong, missed = [0, 0], [0, 0], [0, 0]
+    for text, gold in pii._generated(600, 99):
+        base, spans = pii.all_spans([text], field)[0]
+        meets = lambda x, y: x[1] < y[2] and y[1] < x[2]
+        k, added = int(bool(base)), [x for x in spans if x not in base]
+        right[k] += sum(any(meets(x, g) and x[0] == g[0] for g in gold) for x in added)
+        wrong[k] += sum(not any(meets(x, g) for g in gold) for x in added)
+        missed[k] += sum(not any(meets(g, x) for x in spans) for g in gold)
+    for k in (0, 1):
+        assert right[k] > 50 and wrong[k] <= 0.02 * right[k] and missed[k] <= 0.05 * right[k]
+
+
+def test_spans_do_not_depend_on_the_texts_beside(monkeypatch):
+    field = pii.trained()
+    texts = [t for t, _ in pii._generated(60, 5)]
+    whole = pii.all_spans(texts, field)
+    monkeypatch.setattr(pii, "FLIGHT", 7)
+    assert pii.all_spans(texts, field) == whole
