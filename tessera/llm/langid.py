@@ -4,7 +4,8 @@ A suffix automaton of sample text per language answers how long the text at hand
 as a substring of the sample. Reading a text greedily in longest matches cuts it into phrases;
 the language with the fewest phrases a letter wins.
 
-The automata are dense transition tables, so that one numpy step advances many pieces of text
+The automata are transition tables, dense for the most frequent letters of each language and
+sorted (state, letter) keys for its others, so that one numpy step advances many pieces of text
 at once: a text is parsed in pieces of fixed length, a border costing every language the same.
 """
 
@@ -24,7 +25,7 @@ from .common import mapped
 
 #: Sample documents for each language and characters of its automaton, at most.
 SAMPLE_DOCS, SAMPLE_CHARS = 64, 40_000
-#: Letters of the tables; rarer ones match nowhere.
+#: Letters of a language's dense table; the transitions of its rarer ones are sorted keys.
 ALPHABET = 62
 #: Characters parsed as one piece, and characters of all pieces in flight.
 PIECE, FLIGHT = 256, 2_000_000
@@ -71,17 +72,31 @@ def squeezed(text: str) -> str:
     return _NOT_LETTERS.sub(" ", text.lower()).strip()
 
 
+@dataclass
+class Rare:
+    """Transitions of a language on letters outside its dense table: sorted keys state * size + symbol,
+    the state that each leads to, and by symbol the state that the letter leads to from the start."""
+
+    size: int
+    keys: np.ndarray
+    to: np.ndarray
+    root: np.ndarray
+
+
 @dataclass
 class LanguageModel:
-    """names; symbol of a code point (0: no letter of the tables); one flat table per language.
+    """names; number of a code point among the letters of all samples (0: in none); for each language
+    the symbol of each such number (0: not in its sample), a flat table and the rare transitions, if any.
 
     A table entry is the next state, with the top bit set where the phrase ended and the letter
     began a new one.
     """
 
     names: list[str]
-    symbols: np.ndarray
+    letters: np.ndarray
+    symbols: list[np.ndarray]
     tables: list[np.ndarray]
+    rare: list[Rare | None]
 
     @property
     def width(self) -> int:
@@ -92,35 +107,46 @@ def build(samples: dict[str, str]) -> LanguageModel:
     """Model from sample text by language."""
     names = sorted(samples)
     texts = {k: squeezed(samples[k])[:SAMPLE_CHARS] for k in names}
-    common = [c for c, _ in sorted(Counter("".join(texts.values())).items(), key=lambda x: (-x[1], x[0])) if c != " "][:ALPHABET]
-    symbols = np.zeros(0x110000, dtype=np.uint8)
-    number = {" ": 1} | {c: k + 2 for k, c in enumerate(common)}
-    for c, k in number.items():
-        symbols[ord(c)] = k
+    known = sorted(set("".join(texts.values())))
+    letters = np.zeros(0x110000, dtype=np.uint32)
+    for k, c in enumerate(known):
+        letters[ord(c)] = k + 1
     width = ALPHABET + 2
-    tables = []
+    symbols, tables, rare = [], [], []
     for name in names:
+        own = [c for c, _ in sorted(Counter(texts[name]).items(), key=lambda x: (-x[1], x[0])) if c != " "]
+        number = {" ": 1} | {c: k + 2 for k, c in enumerate(own)}
+        symbol = np.zeros(len(known) + 1, dtype=np.uint32)
+        for c, k in number.items():
+            symbol[letters[ord(c)]] = k
+        symbol[0] = 0
         go, count = automaton(texts[name])
+        size = max(width, len(number) + 1)
         # one more state follows a letter the sample lacks, which is a phrase of its own
-        root = np.full(width, count, dtype=np.uint32)
+        root = np.full(size, count, dtype=np.uint32)
         for c, to in go[0].items():
-            if c in number:
-                root[number[c]] = to
-        table = np.tile(root | _BREAK, (count + 1, 1))
-        table[0] = root  # only the start of a piece is in state 0, where a phrase is open already
+            root[number[c]] = to
+        table = np.tile(root[:width] | _BREAK, (count + 1, 1))
+        table[0] = root[:width]  # only the start of a piece is in state 0, where a phrase is open already
+        far = []
         for s, edges in enumerate(go):
             for c, to in edges.items():
-                if c in number:
+                if number[c] < width:
                     table[s, number[c]] = to
+                else:
+                    far.append((s * size + number[c], to))
+        pairs = np.array(sorted(far), dtype=np.int64).reshape(-1, 2)
+        symbols.append(symbol)
         tables.append(table.reshape(-1))
-    return LanguageModel(names, symbols, tables)
+        rare.append(Rare(size, pairs[:, 0].copy(), pairs[:, 1].astype(np.uint32), root) if far else None)
+    return LanguageModel(names, letters, symbols, tables, rare)
 
 
 def phrases(texts: list[str], model: LanguageModel) -> np.ndarray:
     """Phrases (texts x languages) in which each whole normalised text is parsed."""
     codes, owner_of, sizes = [], [], []
     for k, text in enumerate(texts):
-        code = model.symbols[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        code = model.letters[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         codes.append(code)
         n = -(-len(code) // PIECE)
         owner_of.append(np.full(n, k))
@@ -133,14 +159,23 @@ def phrases(texts: list[str], model: LanguageModel) -> np.ndarray:
     start, owner, size = start[order], owner[order], size[order]
     alive = np.searchsorted(-size, -np.arange(PIECE), side="left")
     width = np.uint32(model.width)
-    for lang, table in enumerate(model.tables):
+    for lang, (symbol, table, rare) in enumerate(zip(model.symbols, model.tables, model.rare, strict=True)):
+        own = symbol[flat]
         state = np.zeros(len(start), dtype=np.uint32)
         count = np.ones(len(start), dtype=np.int64)
         for step in range(PIECE):
             n = int(alive[step])
             if not n:
                 break
-            got = table[state[:n] * width + flat[start[:n] + step]]
+            letter = own[start[:n] + step]
+            if rare is None:
+                got = table[state[:n] * width + letter]
+            else:
+                got = table[state[:n] * width + np.where(letter < width, letter, np.uint32(0))]
+                far = np.flatnonzero(letter >= width)
+                key = state[far].astype(np.int64) * rare.size + letter[far]
+                at = np.minimum(np.searchsorted(rare.keys, key), len(rare.keys) - 1)
+                got[far] = np.where(rare.keys[at] == key, rare.to[at], rare.root[letter[far]] | _BREAK)
             count[:n] += got >= _BREAK
             state[:n] = got & ~_BREAK
         out[:, lang] = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)

@@ -99,3 +99,35 @@ def test_languages(spark):
     none = langid.build(langid.sample(docs, F.lit(False)))
     assert {r.lang_pred for r in langid.identify(docs, none).collect()} == {"und"}
     assert langid.identify(docs.limit(0), model).count() == 0
+
+
+def scripts(rng):
+    """Sample words of languages in several scripts, some sharing theirs."""
+    pick = lambda lo, hi, n: ["".join(chr(rng.randint(lo, hi)) for _ in range(rng.randint(1, 3))) for _ in range(n)]
+    han = pick(0x4E00, 0x5200, 500)
+    return {
+        "ar": pick(0x0627, 0x063A, 300), "el": pick(0x03B1, 0x03C9, 300), "en": "the of and to in is that it was for".split(), "ja": pick(0x3041, 0x3096, 300) + han[:200],
+        "ko": pick(0xAC00, 0xB200, 500), "ru": pick(0x0430, 0x044F, 300), "uk": pick(0x0430, 0x045F, 300), "zh": han[200:],
+    }
+
+
+def test_every_letter_of_the_samples_can_match():
+    rng = random.Random(11)
+    words = scripts(rng)
+    text = lambda k, n: langid.squeezed(" ".join(rng.choice(words[k]) for _ in range(n)))
+    samples = {k: text(k, 900) for k in words}
+    model = langid.build(samples)
+    texts = [text(k, n) for k in words for n in (1, 40, 300)] + [text("zh", 30) + " " + text("en", 30), "\U0001e900\U0001e901 abc"]
+    want = [[longest_match_parse(t, samples[k]) for k in model.names] for t in texts]
+    assert (langid.phrases(texts, model) == np.array(want)).all()
+
+
+def test_many_scripts_side_by_side(spark):
+    rng = random.Random(12)
+    words = scripts(rng)
+    rows = [" ".join(rng.choice(words[k]) for _ in range(60)) for k in words for _ in range(12)]
+    names = [k for k in words for _ in range(12)]
+    docs = spark.createDataFrame([(k, t, names[k]) for k, t in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.build(langid.sample(docs, F.col("doc_id") % 4 != 2))
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, model, carry=["doc_id"]).select("row.doc_id", "lang_pred").collect()}
+    assert [got[k] for k in range(len(rows))] == names
