@@ -19,7 +19,7 @@ from .common import mapped
 from .html_tree import Tree, parse
 
 #: Generated pages that the trees are trained on.
-TRAINING_PAGES = 400
+TRAINING_PAGES = 400  # and a quarter as many fragments
 # Attribute words that speak for and against main text.
 GOOD = frozenset("article body content entry main post story text hentry blog page paragraph".split())
 BAD = frozenset("ad ads advert advertisement aside banner breadcrumb breadcrumbs button byline caption comment comments consent cookie copyright dialog disqus footer form gdpr header hidden login menu meta modal nav navbar navigation newsletter notice pagination popup promo recommended related replies reply search share sharing sidebar signup social sponsor sponsored subscribe tag tags toolbar tooltip widget".split())
@@ -162,13 +162,26 @@ def _generated_page(rng: random.Random) -> tuple[str, str]:
     return f"<html><head><title>{sentence(1, 5)}</title></head><body>" + "".join(top + before) + body + "".join(after) + foot + ("</body></html>" if rng.random() < 0.9 else ""), body
 
 
+def _generated_fragment(rng: random.Random) -> str:
+    """A source without tags of page and body: loose marked text, with a menu, a footer or an advert at times."""
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(1, 9)))
+    line = lambda: " ".join(word() for _ in range(rng.randint(1, 40))).capitalize() + rng.choice((".", ".", "!", ""))
+    body = "<br>".join("q" + line() for _ in range(rng.randint(1, 8)))
+    if rng.random() < 0.3:
+        body += "".join(f"<p>q{line()}</p>" for _ in range(rng.randint(1, 3)))
+    before = "<nav><ul>" + "".join(f'<li><a href="/{word()}">{word()}</a></li>' for _ in range(rng.randint(2, 6))) + "</ul></nav>" if rng.random() < 0.3 else ""
+    after = rng.choice((f"<footer>{line()}</footer>", f'<div class="ad">{line()}</div>', "", "", ""))
+    return before + body + after
+
+
 @lru_cache(maxsize=1)
 def trained(pages: int = TRAINING_PAGES, seed: int = 10) -> boosting.Boosted:
     """Trees fitted on generated pages: a node is main text if its subtree holds any."""
     rng = random.Random(seed)
     xs, ys = [], []
-    for _ in range(pages):
-        tree = parse(_generated_page(rng)[0])
+    sources = [_generated_page(rng)[0] for _ in range(pages)] + [_generated_fragment(rng) for _ in range(pages // 4)]
+    for source in sources:
+        tree = parse(source)
         y = np.zeros(len(tree.tag))
         for node, text in zip(tree.block_node, tree.block_text, strict=True):
             if text.startswith("q"):
@@ -190,7 +203,7 @@ def main_texts(sources: list[str | None], model: boosting.Boosted) -> list[str]:
     for tree in trees:
         keep = decode(tree, p[at : at + len(tree.tag)])
         at += len(tree.tag)
-        out.append("\n".join(text for node, text in zip(tree.block_node, tree.block_text, strict=True) if node and keep[node]))
+        out.append("\n".join(text for node, text in zip(tree.block_node, tree.block_text, strict=True) if keep[node]))
     return out
 
 

@@ -2,7 +2,8 @@
 
 Forgiving in the ways pages need it: unclosed paragraphs and list items end where the next one
 starts, stray end tags are ignored, raw text (scripts, styles) runs to its own end tag, and
-comments are skipped.
+comments are skipped. Text outside the body, before its tag or after its end, belongs to the body;
+without one to an implied body. Formulas and the text in place of an object are text of the line.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*
 _ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
-RAW = frozenset(("script", "style", "noscript", "template", "textarea", "svg", "math", "iframe", "object", "title"))
+RAW = frozenset(("script", "style", "noscript", "template", "textarea", "svg", "iframe", "title"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
+_MATH = "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml"
+INLINE = frozenset(f"{_MATH} object a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
 #: Tags that end an open paragraph.
 _ENDS_P = frozenset("address article aside blockquote dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 _ENDS_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -50,10 +52,25 @@ def parse(source: str) -> Tree:
     bits: list[str] = []
     linked = 0
 
+    def opened(name: str, words: list[str]) -> None:
+        tree.parent.append(stack[-1])
+        tree.tag.append(name)
+        tree.tokens.append(tuple(words))
+        tree.depth.append(tree.depth[stack[-1]] + 1)
+        tree.inline.append(0)
+        tree.link_chars.append(0)
+
+    def inside() -> None:
+        """Loose text and inline elements stand in a body."""
+        if tree.tag[stack[-1]] in ("#root", "html"):
+            opened("body", [])
+            stack.append(len(tree.tag) - 1)
+
     def flush() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(bits))).strip()
         if text:
+            inside()
             tree.block_node.append(stack[-1])
             tree.block_text.append(text)
             tree.link_chars[stack[-1]] += linked
@@ -81,6 +98,12 @@ def parse(source: str) -> Tree:
         if m[1]:
             if name == "a":
                 anchors = max(0, anchors - 1)
+            elif name in ("body", "html"):  # the body stays open for text that follows
+                flush()
+                for k in range(len(stack) - 1, 0, -1):
+                    if tree.tag[stack[k]] == "body":
+                        close(k + 1)
+                        break
             elif name not in INLINE:
                 for k in range(len(stack) - 1, 0, -1):
                     if tree.tag[stack[k]] == name:
@@ -100,6 +123,7 @@ def parse(source: str) -> Tree:
             flush()
             continue
         if name in INLINE:
+            inside()
             tree.inline[stack[-1]] += 1
             if name == "a":
                 anchors += 1
@@ -109,6 +133,8 @@ def parse(source: str) -> Tree:
         flush()
         if name in VOID:
             continue
+        if name in ("html", "body") and any(tree.tag[k] == "body" for k in stack):
+            continue
         if name in _ENDS_P:
             for k in range(len(stack) - 1, 0, -1):
                 if tree.tag[stack[k]] == "p":
@@ -131,12 +157,7 @@ def parse(source: str) -> Tree:
                     words += _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower())
             if re.search(r"\bhidden\b|display\s*:\s*none", m[3], re.I):
                 words.append("hidden")
-        tree.parent.append(stack[-1])
-        tree.tag.append(name)
-        tree.tokens.append(tuple(words))
-        tree.depth.append(tree.depth[stack[-1]] + 1)
-        tree.inline.append(0)
-        tree.link_chars.append(0)
+        opened(name, words)
         if not m[3].endswith("/"):
             stack.append(len(tree.tag) - 1)
     flush()

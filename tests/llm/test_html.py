@@ -68,3 +68,39 @@ def test_pages(spark):
     assert got[2] == (3, "v", "", 0) and got[3][3] == len("long text. " * 20_000) - 1
     assert html_extract.main_content(pages).count() == 5
     assert html_extract.main_content(pages.limit(0)).count() == 0
+
+
+def test_loose_text_outside_the_body_is_kept():
+    model = html_extract.trained()
+    loose = "First line of the text, long enough.<br>Second <b>line</b> here.<br>Third."
+    want = {
+        loose: "First line of the text, long enough. Second line here. Third.",
+        "A short note.": "A short note.",
+        "Start<p>One, two.</p>end": "Start\nOne, two.\nend",
+        "<html><head><title>x</title></head>" + loose + "</html>": "First line of the text, long enough. Second line here. Third.",
+        "<html><body><article><h1>T</h1><p>Some text, first.</p></article></body></html>" + loose: "T\nSome text, first.\nFirst line of the text, long enough. Second line here. Third.",
+        "<nav><ul><li><a href='/'>Home</a></li></ul></nav>" + loose + "<footer>copy</footer>": "First line of the text, long enough. Second line here. Third.",
+    }
+    assert dict(zip(want, html_extract.main_texts(list(want), model), strict=True)) == want
+    rng = random.Random(77)
+    pages = [html_extract._generated_fragment(rng) for _ in range(150)]
+    wrong = total = 0
+    for page in pages:
+        tree = parse(page)
+        keep = html_extract.decode(tree, model.predict(html_extract.features(tree)))
+        for node, text in zip(tree.block_node, tree.block_text, strict=True):
+            total += 1
+            wrong += keep[node] != text.startswith("q")
+    assert wrong / total < 0.02
+
+
+def test_formulas_and_objects_are_text():
+    page = "<article><h1>T</h1><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be even.</p><object data='a.pdf'><param name='p'>The text in its place.</object></article>"
+    assert parse(page).block_text == ["T", "Let x=2 be even.", "The text in its place."]
+    assert html_extract.main_texts([page], html_extract.trained()) == ["T\nLet x=2 be even.\nThe text in its place."]
+
+
+def test_one_body_holds_what_stands_outside_it():
+    tree = parse("<b>before</b><html><body class='post'><div>in</div></body></html>after</body><p>late</p>")
+    assert tree.block_text == ["before", "in", "after", "late"]
+    assert tree.tag.count("body") == 1 and tree.tag[tree.block_node[2]] == "body"
