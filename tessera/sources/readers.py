@@ -17,19 +17,32 @@ def tab_rows(spark: SparkSession, path: str, schema: StructType | str, keep: Col
     return df if keep is None else df.filter(keep)
 
 
+def _cut_off(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """No rows of (key, raw_text); raises if a file's last start tag comes after its last end tag.
+
+    Files are cut before the end tag's last character, so that an end tag at the very end is still followed by a part.
+    """
+    parts = spark.read.option("lineSep", f"</{tag}").text(path)
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    found = parts.select(F.col("_metadata.file_path").alias("file"), at.alias("at"), F.col("value").startswith(">").alias("ends"), F.col("value").rlike(rf"<{tag}(?:[\s>]|$)").alias("starts"))
+    # of a part that begins behind an end tag, a start tag is the later of the two
+    last = found.groupBy("file").agg(F.max(F.when(F.col("starts"), F.col("at"))).alias("start"), F.max(F.when(F.col("ends"), F.col("at"))).alias("end"))
+    cut = F.col("start").isNotNull() & (F.col("end").isNull() | (F.col("start") >= F.col("end")))
+    said = F.raise_error(F.concat(F.lit(f"no end tag of the last <{tag}> in "), F.col("file"))).cast("boolean")
+    return last.filter(F.when(cut, said).otherwise(F.lit(False))).select(F.lit("").alias("key"), F.lit("").alias("raw_text"))
+
+
 def marked_records(spark: SparkSession, path: str, tag: str, key: str) -> DataFrame:
     """(key, raw_text): every <tag ...>...</tag> of the files, text exactly as stored; key is a pattern with one group.
 
     Files are cut at the end tag by the text source, so one large file is read by many tasks.
-    An element without its end tag at the end of a file raises.
+    An element without its end tag at the end of a file raises, in a second scan once all rows are read.
     """
     parts = spark.read.option("lineSep", f"</{tag}>").text(path)
     body = F.regexp_extract("value", rf"(?s)(<{tag}[\s>].*)$", 1)
     whole = F.concat(body, F.lit(f"</{tag}>"))
-    # what follows the last end tag has no start tag, or the element is cut off
-    last = F.col("value").rlike(rf"(?s)<{tag}[\s>]") & F.col("value").rlike(r"(?s)</[A-Za-z]+>\s*$") & ~F.col("value").rlike(rf"(?s)<{tag}[\s>].*[^>\s]\s*$")
-    found = parts.filter(body != "").select(F.regexp_extract(whole, key, 1).alias("key"), whole.alias("raw_text"), last.alias("_last"))
-    return found.select("key", "raw_text").filter("key <> ''")
+    found = parts.filter(body != "").select(F.regexp_extract(whole, key, 1).alias("key"), whole.alias("raw_text"))
+    return found.filter("key <> ''").unionByName(_cut_off(spark, path, tag))
 
 
 def series_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -217,3 +217,33 @@ def test_walks_deeper_than_the_merge_of_rounds(spark):
     want = {f"A{k:02}" for k in range(n + 1)}
     assert [r.key for r in graph.closure(chain, roots, ["r"]).orderBy("key").collect()] == sorted(want)
     assert [r.node for r in graph.walk(chain, roots, [("A", "r", False)]).orderBy("node").collect()] == sorted(want)
+
+
+def test_a_truncated_file_of_marked_records_raises(spark, tmp_path):
+    import gzip
+
+    whole = '<PSet>\n<P id="1"><x/></P>\n<P id="2">\n <P2>t</P2></P>'
+    read = lambda path: readers.marked_records(spark, str(path), "P", 'id="([^"]+)"')
+    for k, tail in enumerate(("", "\n", "</PSet>\n")):
+        (tmp_path / f"w{k}.xml").write_text(whole + tail)
+        assert sorted(r.key for r in read(tmp_path / f"w{k}.xml").collect()) == ["1", "2"]
+    for k, cut in enumerate((whole[:-1], whole[:-4], whole[:-12], whole + '\n<P id="3"><x/', whole + "\n<P", whole + '\n<P id="3"/></PSet>', '<P id="1">only')):
+        (tmp_path / f"c{k}.xml").write_text(cut)
+        (tmp_path / f"c{k}.xml.gz").write_bytes(gzip.compress(cut.encode()))
+        for path in (tmp_path / f"c{k}.xml", tmp_path / f"c{k}.xml.gz"):
+            with pytest.raises(PySparkException, match="no end tag"):
+                read(path).collect()
+            with pytest.raises(PySparkException, match="no end tag"):
+                read(path).count()
+    # a long file read in many splits, whole and cut
+    many = "".join(f'<P id="{k}">{"x" * 50}</P>\n' for k in range(5000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        (tmp_path / "m.xml").write_text(many)
+        assert read(tmp_path / "m.xml").count() == 5000
+        (tmp_path / "n.xml").write_text(many[:-20])
+        with pytest.raises(PySparkException, match="no end tag"):
+            read(tmp_path / "n.xml").count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
