@@ -1,9 +1,14 @@
 """HTML source as a flat tree of elements with their text blocks.
 
 Forgiving in the ways pages need it: unclosed paragraphs and list items end where the next one
-starts, stray end tags are ignored, raw text (scripts, styles) runs to its own end tag, and
-comments are skipped. Text outside the body, before its tag or after its end, belongs to the body;
-without one to an implied body. Formulas and the text in place of an object are text of the line.
+starts, stray end tags are ignored, and comments are skipped. Scripts and styles run to their own
+end tag or, as in browsers, to the end of the page; drawings, frames and other raw elements without
+an end tag are ordinary elements, so that nothing after them is lost. Text outside the body, before
+its tag or after its end, belongs to the body; without one to an implied body. Formulas and the
+text in place of an object are text of the line, and so is text of elements with unknown names,
+unless they have a class, id or role to be judged by.
+
+Everything is read in time linear in the source, however broken it is.
 """
 
 from __future__ import annotations
@@ -12,18 +17,89 @@ import html
 import re
 from dataclasses import dataclass, field
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_NAME = re.compile(r"[A-Za-z][A-Za-z0-9:-]*+")
+_STOP = re.compile("[>=]")
+_QUOTED = re.compile(r"\s*+([\"'])")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++)))?+")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"([a-z])([A-Z])")
 _SPACE = re.compile(r"\s+")
-RAW = frozenset(("script", "style", "noscript", "template", "textarea", "svg", "iframe", "title"))
+_ZEROS = re.compile(r"&#([xX]?)0+(?=[0-9A-Fa-f])")
+_TOO_LONG = re.compile(r"&#(?:[0-9]{9,}|[xX][0-9A-Fa-f]{9,});?")
+#: Elements whose content is no text of the page up to their end tag; the first two also without one.
+_SCRIPTS = ("script", "style")
+RAW = frozenset((*_SCRIPTS, "noscript", "template", "textarea", "svg", "iframe", "title", "noembed", "noframes", "xmp"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that begin and end blocks; all others stand in a line.
+BLOCK = frozenset(
+    "html head body address article aside blockquote button caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr legend li link main menu meta nav ol optgroup option p pre script search section select style summary table tbody td template tfoot th thead "
+    "title tr ul video audio canvas iframe noscript textarea svg input base source track param area embed noembed noframes xmp".split()
+)
 _MATH = "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml"
-INLINE = frozenset(f"{_MATH} object a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
+#: Known elements of a line: their class says how text looks, not what it is for.
+INLINE = frozenset(f"{_MATH} object a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q ruby rb rp rt s samp small span strike strong sub sup time tt u var br wbr img picture map".split())
+#: Elements that a drawing cannot hold: one of these before its end tag shows that it has none.
+_OUTSIDE = re.compile(r"<(?:p|div|h[1-6]|ul|ol|li|table|blockquote|article|section|main|nav|aside|header|footer|body|pre)[\s/>]", re.I)
 #: Tags that end an open paragraph.
 _ENDS_P = frozenset("address article aside blockquote dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 _ENDS_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _STOPS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
+_JUDGED = frozenset(("class", "id", "role", "aria-label", "itemprop", "data-role"))
+
+
+def decoded(text: str) -> str:
+    """Text with its character references decoded; numbers of any length are one character."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = _TOO_LONG.sub("\ufffd", _ZEROS.sub(r"&#\1", text))
+    return html.unescape(text)
+
+
+class _Source:
+    """Places in a source, each sought once: a pattern's next match is kept until it is passed."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.known, self.ends = text, {}, {}
+        self.last = text.rfind(">")
+        self.quotes = True
+
+    def after(self, pattern: re.Pattern, at: int) -> tuple[int, int] | None:
+        """Start and end of the first match from a place on; places asked for never fall."""
+        if pattern not in self.known or (self.known[pattern] is not None and self.known[pattern][0] < at):
+            m = pattern.search(self.text, at)
+            self.known[pattern] = m and m.span()
+        return self.known[pattern]
+
+    def end_tag(self, name: str, at: int) -> tuple[int, int] | None:
+        if name not in self.ends:
+            self.ends[name] = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I)
+        return self.after(self.ends[name], at)
+
+    def tag_end(self, at: int) -> int:
+        """Place behind the > of the tag whose name ends at a place; 0 if there is none.
+
+        A > in a quoted value ends no tag. Where that would leave a tag open to the end of the page,
+        quotes mean nothing from there on.
+        """
+        if at > self.last:
+            return 0
+        k = at
+        while self.quotes:
+            m = _STOP.search(self.text, k)
+            if not m:
+                self.quotes = False
+            elif m[0] == ">":
+                return m.end()
+            else:
+                k = m.end()
+                if (q := _QUOTED.match(self.text, k)) and (close := self.text.find(q[1], q.end())) >= 0:
+                    k = close + 1
+                elif q:
+                    self.quotes = False
+        return self.text.index(">", at) + 1
 
 
 @dataclass
@@ -44,31 +120,51 @@ class Tree:
     block_text: list[str] = field(default_factory=list)
 
 
+def _attributes(source: str) -> list[str]:
+    """Words of the attributes that say what an element is for; "hidden" for one that is not shown."""
+    words: list[str] = []
+    for key, *values in _ATTRIBUTE.findall(source):
+        key = key.lower()
+        if key in _JUDGED:
+            words += _WORD.findall(_CAMEL.sub(r"\1 \2", "".join(values)).lower())
+        elif key == "hidden" or (key == "style" and _NOT_SHOWN.search("".join(values))):
+            words.append("hidden")
+    return words
+
+
 def parse(source: str) -> Tree:
     """Tree of an HTML source; a null or empty one has a root and no blocks."""
     tree = Tree()
+    source = source or ""
+    places = _Source(source)
     stack = [0]  # open block elements
+    where: dict[str, list[int]] = {"#root": [0]}  # by tag, their places in the stack
     anchors = 0
     bits: list[str] = []
     linked = 0
 
-    def opened(name: str, words: list[str]) -> None:
+    def opened(name: str, words: list[str], *, push: bool = True) -> None:
         tree.parent.append(stack[-1])
         tree.tag.append(name)
         tree.tokens.append(tuple(words))
         tree.depth.append(tree.depth[stack[-1]] + 1)
         tree.inline.append(0)
         tree.link_chars.append(0)
+        if push:
+            where.setdefault(name, []).append(len(stack))
+            stack.append(len(tree.tag) - 1)
+
+    def nearest(names: tuple[str, ...]) -> int:
+        return max((where[n][-1] for n in names if where.get(n)), default=0)
 
     def inside() -> None:
         """Loose text and inline elements stand in a body."""
         if tree.tag[stack[-1]] in ("#root", "html"):
             opened("body", [])
-            stack.append(len(tree.tag) - 1)
 
     def flush() -> None:
         nonlocal linked
-        text = _SPACE.sub(" ", html.unescape("".join(bits))).strip()
+        text = _SPACE.sub(" ", decoded("".join(bits))).strip()
         if text:
             inside()
             tree.block_node.append(stack[-1])
@@ -79,50 +175,64 @@ def parse(source: str) -> Tree:
 
     def close(upto: int) -> None:
         flush()
-        del stack[upto:]
+        while len(stack) > upto:
+            where[tree.tag[stack.pop()]].pop()
 
-    at, n = 0, len(source)
-    while at < n:
-        m = _TOKEN.search(source, at)
-        end = m.start() if m else n
+    def text_upto(end: int) -> None:
+        nonlocal linked
         if end > at:
             bits.append(source[at:end])
             if anchors:
                 linked += end - at
-        if not m:
+
+    at, n = 0, len(source)
+    while at < n:
+        begin = source.find("<", at)
+        while begin >= 0 and not (source[begin + 1 : begin + 2].isalpha() and source[begin + 1].isascii()) and source[begin + 1 : begin + 2] not in ("/", "!", "?"):
+            begin = source.find("<", begin + 1)
+        text_upto(begin if begin >= 0 else n)
+        if begin < 0:
             break
-        at = m.end()
-        name = m[2].lower() if m[2] else ""
-        if not name:
+        if source.startswith("<!--", begin):
+            end = source.find("-->", begin + 2)
+            at = end + 3 if end >= 0 else n
             continue
-        if m[1]:
+        ends = source[begin + 1] == "/"
+        m = _NAME.match(source, begin + 1 + ends)
+        at = places.tag_end(m.end() if m else begin + 2)
+        if not at:  # cut off within a tag
+            break
+        if not m:
+            continue
+        name, inner = m[0].lower(), source[m.end() : at - 1]
+        if ends:
             if name == "a":
                 anchors = max(0, anchors - 1)
             elif name in ("body", "html"):  # the body stays open for text that follows
                 flush()
-                for k in range(len(stack) - 1, 0, -1):
-                    if tree.tag[stack[k]] == "body":
-                        close(k + 1)
-                        break
-            elif name not in INLINE:
-                for k in range(len(stack) - 1, 0, -1):
-                    if tree.tag[stack[k]] == name:
-                        close(k)
-                        break
-                else:
-                    flush()
+                if k := nearest(("body",)):
+                    close(k + 1)
+            elif k := nearest((name,)):
+                close(k)
+            elif name in BLOCK:
+                flush()
             continue
-        if name in RAW:
-            stop = re.compile(f"</{name}\\s*>", re.I).search(source, at) if not m[3].endswith("/") else None
+        empty = inner.endswith("/")
+        if name in RAW and not empty:
+            stop = places.end_tag(name, at)
+            if stop and name == "svg" and (out := places.after(_OUTSIDE, at)) and out[0] < stop[0]:
+                stop = None
             if stop:
-                at = stop.end()
-            elif not m[3].endswith("/"):
-                at = n
-            if name in ("script", "style", "template", "title", "noscript"):
+                if name in ("textarea", "iframe", "xmp"):
+                    flush()
+                at = stop[1]
                 continue
-            flush()
-            continue
-        if name in INLINE:
+            if name in _SCRIPTS:
+                break
+            if name == "svg":
+                continue
+        words = _attributes(inner) if inner else []
+        if name not in BLOCK and (not words or name in INLINE):
             inside()
             tree.inline[stack[-1]] += 1
             if name == "a":
@@ -133,32 +243,13 @@ def parse(source: str) -> Tree:
         flush()
         if name in VOID:
             continue
-        if name in ("html", "body") and any(tree.tag[k] == "body" for k in stack):
+        if name in ("html", "body") and where.get("body"):
             continue
-        if name in _ENDS_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if tree.tag[stack[k]] == "p":
-                    close(k)
-                    break
-                if tree.tag[stack[k]] not in ("p",):
-                    break
-        if name in _ENDS_SAME:
-            for k in range(len(stack) - 1, 0, -1):
-                if tree.tag[stack[k]] in _ENDS_SAME[name]:
-                    close(k)
-                    break
-                if tree.tag[stack[k]] in _STOPS[name]:
-                    break
+        if name in _ENDS_P and tree.tag[stack[-1]] == "p":
+            close(len(stack) - 1)
+        if name in _ENDS_SAME and (k := nearest(_ENDS_SAME[name])) > nearest(_STOPS[name]):
+            close(k)
         anchors = 0
-        words: list[str] = []
-        if m[3]:
-            for key, *values in _ATTRIBUTE.findall(m[3]):
-                if key.lower() in ("class", "id", "role", "aria-label", "itemprop", "data-role"):
-                    words += _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower())
-            if re.search(r"\bhidden\b|display\s*:\s*none", m[3], re.I):
-                words.append("hidden")
-        opened(name, words)
-        if not m[3].endswith("/"):
-            stack.append(len(tree.tag) - 1)
+        opened(name, words, push=not empty)
     flush()
     return tree
