@@ -16,28 +16,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import mapped
+from .license_texts import license_of, templates
 from .textnum import ALNUM, combine, pieces, utf8, words
 
-#: Words of a k-gram and k-grams of a winnowing window.
-GRAM, WINDOW = 4, 3
+#: Words of a k-gram and k-grams of a winnowing window. All k-grams of a text are looked up, so a copy with
+#: GRAM + WINDOW - 1 unchanged words in a row is always a candidate; of a template of up to SHORT words, all k-grams are kept.
+GRAM, WINDOW, SHORT = 4, 3, 40
 #: Words that an alignment may drift from its diagonal.
 BAND = 6
 #: Least share of a template's words that must match.
 COVERAGE = 0.8
 
-# Notices and opening sentences of common public licenses.
-TEMPLATES = {
-    "MIT-notice": "Released under the MIT License.",
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-}
+#: Template characters that are broadcast, at most.
+TEMPLATE_CHARS = 16_000_000
+
+TEMPLATES = templates()
 
 
 def _grams(hashes: np.ndarray) -> np.ndarray:
@@ -47,13 +40,25 @@ def _grams(hashes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Winnowed k-grams, sorted, with the template and place of each; and the templates' words."""
+    """Winnowed k-grams, sorted, with the template and place of each; the templates' words; and for each
+    template the pairs (words that it alone has, words that only the other has) against those it can be taken for."""
 
     grams: np.ndarray
     template: np.ndarray
     place: np.ndarray
     names: list[str]
     words: list[np.ndarray]
+    differ: list[list[tuple[frozenset[int], frozenset[int]]]]
+
+
+def _differences(names: list[str], held: list[np.ndarray]) -> list[list[tuple[frozenset[int], frozenset[int]]]]:
+    """Where two templates of different licenses share so many words that one can pass for the other, how they differ."""
+    sets = [frozenset(h.tolist()) for h in held]
+    out: list[list[tuple[frozenset[int], frozenset[int]]]] = []
+    for a, mine in zip(names, sets, strict=True):
+        found = {(mine - other, other - mine) for b, other in zip(names, sets, strict=True) if license_of(a) != license_of(b) and len(mine & other) >= COVERAGE * COVERAGE * len(mine)}
+        out.append(sorted(found, key=lambda f: (sorted(f[0]), sorted(f[1]))))
+    return out
 
 
 def index(templates: dict[str, str]) -> Index:
@@ -64,61 +69,108 @@ def index(templates: dict[str, str]) -> Index:
         h = words(*utf8(pa.array([templates[name]])), ALNUM).hashes
         held.append(h)
         g = _grams(h)
-        for s in range(max(1, len(g) - WINDOW + 1)) if len(g) else ():
-            part = g[s : s + WINDOW]
+        window = 1 if len(h) <= SHORT else WINDOW
+        for s in range(max(1, len(g) - window + 1)) if len(g) else ():
+            part = g[s : s + window]
             at = s + len(part) - 1 - int(np.argmin(part[::-1]))
             found.append((int(g[at]), t, at))
     found = sorted(set(found))
-    return Index(np.array([f[0] for f in found], dtype=np.uint64), np.array([f[1] for f in found], dtype=np.int64), np.array([f[2] for f in found], dtype=np.int64), names, held)
+    return Index(np.array([f[0] for f in found], dtype=np.uint64), np.array([f[1] for f in found], dtype=np.int64), np.array([f[2] for f in found], dtype=np.int64), names, held, _differences(names, held))
 
 
-def align(text: np.ndarray, template: np.ndarray, center: int) -> tuple[int, int, int]:
-    """Most matched words of the template against the text near the diagonal, and the text words it spans.
+def align(text: np.ndarray, template: np.ndarray, center: int, least: int = 0, most: int | None = None) -> tuple[int, int, int]:
+    """Matched words of the template in its best alignment with the text near the diagonal, and the text words it spans.
 
-    Longest common subsequence within the band around text place = template place + center.
+    Common subsequence within the band around text place = template place + center, of text words
+    least..most, with most matched words less text words skipped between them; of several the one
+    with most matched words, then the shortest span, then the first.
     """
-    n = len(template)
-    lo, hi = max(0, center - BAND), min(len(text), center + n + BAND)
-    part = text[lo:hi]
-    width = 2 * BAND + 1
-    best = np.zeros((n + 1, width), dtype=np.int64)
-    for i in range(1, n + 1):
+    n, width = len(template), 2 * BAND + 1
+    lo, hi = max(least, center - BAND, 0), min(len(text) if most is None else most, center + n + BAND)
+    part, wanted = text[lo:hi].tolist(), template.tolist()
+    unit = len(part) + 1
+    # a cell is ((matched - skipped) * (n + 1) + matched) * unit + 1 + first word, 0 without a match
+    skip, match = (n + 1) * unit, (n + 2) * unit
+    row, best = [0] * (width + 1), (0, 0, 0)
+    for i, word in enumerate(wanted):
+        new, left = [0] * (width + 1), 0
+        j = i + center - BAND - lo
         for d in range(width):
-            j = i - 1 + center - lo + d - BAND  # text word of this cell
-            up = best[i - 1, d + 1] if d + 1 < width else 0
-            left = best[i, d - 1] if d else 0
-            hit = best[i - 1, d] + 1 if 0 <= j < len(part) and part[j] == template[i - 1] else 0
-            best[i, d] = max(up, left, hit, best[i - 1, d])
-    i, d = n, int(best[n].argmax())
-    score, first, last = int(best[n, d]), -1, -1
-    while i > 0 and best[i, d] > 0:
-        j = i - 1 + center - lo + d - BAND
-        if 0 <= j < len(part) and part[j] == template[i - 1] and best[i, d] == best[i - 1, d] + 1:
-            first, last = j, (j if last < 0 else last)
-            i -= 1
-        elif best[i, d] == best[i - 1, d]:
-            i -= 1
-        elif d and best[i, d] == best[i, d - 1]:
-            d -= 1
-        else:
-            i, d = i - 1, d + 1
-    return score, lo + first, lo + last + 1
+            got = max(row[d + 1], left - skip, 0)
+            if 0 <= j < len(part) and part[j] == word:
+                hit = row[d] + match if row[d] else match + j + 1
+                got = max(got, hit)
+                best = max(best, (hit // unit, hit % unit - 1 - j, -j))
+            new[d] = left = got
+            j += 1
+        row = new
+    value, span, last = best
+    return (value % (n + 1), lo - last + span, lo - last + 1) if value else (0, lo, lo)
+
+
+def _same(text: np.ndarray, first: int, last: int, held: Index, t: int, matched: int) -> bool:
+    """False if what tells the template from another license is not there, or what tells the other one is."""
+    if matched == len(held.words[t]) == last - first:
+        return True
+    there = set(text[first:last].tolist())
+    return all((not own or len(own & there) >= COVERAGE * len(own)) and (not other or len(other & there) < COVERAGE * len(other)) for own, other in held.differ[t])
+
+
+def _found(text: np.ndarray, held: Index, t: int, hits: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Matches (words, first, last) of one template from its hits (text place, template place), none on another.
+
+    Whole copies come first; what lies between two of them is then searched from left to right, each
+    time from the words after the last match, so that no copy hides the one beside it.
+    """
+    template = held.words[t]
+    n = len(template)
+    need = COVERAGE * n
+    exact, end = [], 0
+    for center in sorted({at - place for at, place in hits}):
+        if center >= end and center + n <= len(text) and (text[center : center + n] == template).all():
+            exact.append((n, center, center + n))
+            end = center + n
+    out: list[tuple[int, int, int]] = []
+    inside = np.concatenate(([0], np.cumsum(np.isin(text, template))))  # words of the template before each place
+    failed: set[tuple[int, int]] = set()  # windows, and the place in them, that hold no match
+
+    def seek(lo: int, hi: int, k: int) -> int:
+        """Matches in text words lo..hi, from the k-th hit on; the first hit that was not looked at."""
+        while k < len(hits) and hits[k][0] < hi:
+            at, place = hits[k]
+            k += 1
+            a, b = max(lo, at - place - BAND), min(hi, at - place + n + BAND)
+            if at < lo or b - a < need or inside[b] - inside[a] < need:
+                continue
+            window = (hash(text[a:b].tobytes()), at - place - a)
+            if window in failed:
+                continue
+            score, first, last = align(text, template, at - place, lo, hi) if np.isin(template, text[a:b]).sum() >= need else (0, a, a)
+            if score < need or score < COVERAGE * (last - first) or not _same(text, first, last, held, t, score):
+                failed.add(window)
+            else:
+                if first - lo >= need:
+                    seek(lo, first, bisect_left(hits, (lo, -1)))
+                out.append((score, first, last))
+                lo = last
+        return k
+
+    k, lo = 0, 0
+    for m in exact:
+        k = seek(lo, m[1], k)
+        lo = m[2]
+    seek(lo, len(text), k)
+    return out + exact
 
 
 def _matches(w, doc: int, held: Index, hits: list[tuple[int, int]]) -> list[tuple[str, float, int, int, int]]:
     """Matches in one document from its hits (word place, index row): name, coverage, words, first and last word."""
     a, b = int(w.first[doc]), int(w.first[doc + 1])
     text = w.hashes[a:b]
-    out, done = [], set()
-    for at, row in hits:
-        t = int(held.template[row])
-        center = at - a - int(held.place[row])
-        if any((t, c) in done for c in range(center - BAND, center + BAND + 1)):
-            continue
-        done.add((t, center))
-        score, first, last = align(text, held.words[t], center)
-        if score >= COVERAGE * len(held.words[t]):
-            out.append((held.names[t], score / len(held.words[t]), score, first, last))
+    of: dict[int, list[tuple[int, int]]] = {}
+    for at, row in sorted(hits):
+        of.setdefault(int(held.template[row]), []).append((at - a, int(held.place[row])))
+    out = [(held.names[t], m[0] / len(held.words[t]), *m) for t, places in of.items() for m in _found(text, held, t, places)]
     # of overlapping matches the one with most matched words stands
     chosen: list[tuple[str, float, int, int, int]] = []
     taken: list[tuple[int, int]] = []
@@ -130,10 +182,22 @@ def _matches(w, doc: int, held: Index, hits: list[tuple[int, int]]) -> list[tupl
     return sorted(chosen, key=lambda m: (m[3], m[0]))
 
 
+def templates_from(table: DataFrame, *, name_col: str = "name", text_col: str = "text") -> dict[str, str]:
+    """Templates of a table, for whole licenses of any length; more than TEMPLATE_CHARS characters are refused. Of one name the first text counts."""
+    size = table.agg(F.sum(F.length(text_col))).first()[0] or 0
+    if size > TEMPLATE_CHARS:
+        raise ValueError(f"templates have {size} characters, more than {TEMPLATE_CHARS}")
+    rows = table.filter(F.col(name_col).isNotNull() & F.col(text_col).isNotNull()).groupBy(F.col(name_col).alias("name")).agg(F.min(text_col).alias("text"))
+    return {r.name: r.text for r in rows.collect()}
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Rows of docs (struct row) with matches: array of (license, coverage, matched_words, start, end) in code points.
 
-    Whole texts are scanned; null and empty texts have no matches.
+    Whole texts are scanned; null and empty texts have no matches. Copies of one template never
+    overlap; of overlapping matches of several the one with most matched words stands, on ties the
+    one of higher coverage, then the first. A text that could be one of several licenses counts for
+    the one whose distinguishing words (name, version, terms) it has, and for none if it has none.
     """
     held = docs.sparkSession.sparkContext.broadcast(index(templates or TEMPLATES))
 
