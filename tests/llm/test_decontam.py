@@ -70,3 +70,63 @@ def test_empty_tables(spark):
     docs = documents(spark)
     assert {r.contaminated for r in decontam.contamination(docs, none).collect()} == {False}
     assert decontam.contamination(documents(spark, []), none).count() == 0
+
+
+def longest(doc, items):
+    """Longest matches of doc words that hold a whole window, none inside another, by plain search."""
+    out, reach = [], 0
+    for p in range(len(doc)):
+        best = 0
+        for item in items:
+            for s in range(len(item)):
+                n = 0
+                while p + n < len(doc) and s + n < len(item) and doc[p + n] == item[s + n]:
+                    n += 1
+                best = max(best, n)
+        if best >= 10 and p + best > reach:
+            out.append((p, p + best))
+            reach = p + best
+    return out
+
+
+def test_longest_matches_by_plain_search(spark):
+    rng = random.Random(8)
+    items = [[f"w{rng.randrange(9)}" for _ in range(rng.randint(12, 40))] for _ in range(6)]
+    items.append(items[0][3:20])
+    rows = []
+    for _ in range(40):
+        text = []
+        for _ in range(rng.randint(0, 4)):
+            item = rng.choice(items)
+            a = rng.randrange(len(item) - 5)
+            text += item[a : a + rng.randint(5, 30)] + ["x"] * rng.randint(0, 2)
+        rows.append(text)
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(rows)], "doc_id long, text string")
+    found = {r.row.doc_id: r.matches for r in decontam.find_matches(docs, bench).collect()}
+    for k, text in enumerate(rows):
+        assert [(m.start, m.end) for m in sorted(found[k], key=lambda m: m.start)] == longest(text, items), k
+        for m in found[k]:
+            part = " ".join(text[m.start : m.end])
+            assert f" {part} " in " " + " ".join(items[int(m.item)]) + " "
+
+
+def test_repeated_words_take_no_product(spark):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    items = [(str(k), "a " * 1000) for k in range(50)]
+    test = decontam.test_suffixes(items, 10)
+    assert len(test.low) == 1 and len(test.item) == 50
+    tracemalloc.start()
+    counts, hits = decontam._hits_of(pa.array(["a " * 20_000, "b " + "a " * 9, "a " * 10]), test, 10)
+    assert tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+    assert counts.tolist() == [20_000, 10, 10] and set(hits) == {0, 2}
+    assert hits[0][0] == [(0, 20_000)] and len(hits[0][1]) == 50
+    rng = random.Random(3)
+    body = " ".join(f"w{rng.randrange(10**6)}" for _ in range(decontam.BLOCK_CHARS // 8))
+    tracemalloc.start()
+    decontam.test_suffixes([("1", body)], 10)
+    assert tracemalloc.get_traced_memory()[1] < 350e6
