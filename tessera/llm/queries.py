@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import decontam, html_extract, langid, licenses, packing, pii, quality, rollups, setsketch, spotsigs
-from .common import fold, table, work_path
+from .common import fold, table, work_path, written
 
 #: A document scored lower than this is taken for label 0.
 QUALITY_CUT = 0.3
@@ -21,25 +21,39 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
-def _rolled_up(spark: SparkSession, counts: DataFrame) -> DataFrame:
-    """Totals of a fresh rollup after loading the counts, a second attempt at the same load, and a compaction."""
+def _maintained(spark: SparkSession, docs: DataFrame, counts: DataFrame) -> DataFrame:
+    """Totals after a load, a revision, deletes, retries of them and compactions.
+
+    Loaded are the counts of all documents; documents without a language are then revised to "und",
+    and all but the first of equal texts are deleted. counts has doc_id and a rollup's columns.
+    """
     rollup = rollups.TokenRollup(spark, work_path(spark, "rollup"))
+    counts = written(counts, "counts")
+    nameless = counts.filter("lang is null")
+    named = counts.withColumn("lang", F.coalesce("lang", F.lit("und")))
+    text = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    first = docs.groupBy(text.alias("hash")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     rollup.commit("load", rollups.inserts(counts))
+    rollup.commit("named", rollups.revisions(nameless, nameless.withColumn("lang", F.lit("und"))))
+    rollup.compact()
     rollup.commit("load", rollups.inserts(counts))  # a retried job: committed already, nothing is added
-    rollup.compact("compact-1")
+    rollup.commit("copies", rollups.deletes(named.join(first, "doc_id", "left_anti")))
+    rollup.compact()
     return rollup.totals()
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, tokens and characters by source, language and tokenizer version."""
-    return _rolled_up(spark, rollups.token_counts(table(spark, sf_dir, "documents"), rollups.TOKENIZERS))
+    """Distinct documents, tokens and characters by source, language and tokenizer version."""
+    docs = table(spark, sf_dir, "documents")
+    return _maintained(spark, docs, rollups.token_counts(docs, rollups.TOKENIZERS))
 
 
 def op2_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rollup over plain words, which SQL can check."""
+    docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
-    counts = table(spark, sf_dir, "documents").select("source", "lang", F.lit("words-1").alias("tokenizer"), packing.word_count(text).alias("n_tokens"), F.length(text).cast("long").alias("n_chars"))
-    return _rolled_up(spark, counts)
+    counts = docs.select("doc_id", "source", "lang", F.lit("words-1").alias("tokenizer"), packing.word_count(text).alias("n_tokens"), F.length(text).cast("long").alias("n_chars"))
+    return _maintained(spark, docs, counts)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,9 +123,9 @@ _ANCHORS = "[" + ", ".join(f"'{a}'" for a in spotsigs.ANCHORS) + "]"
 
 ORACLE_SQL: dict[str, str] = {
     "op2_word_counts": r"""
-        SELECT source, lang, 'words-1' AS tokenizer, count(*)::BIGINT AS n_docs,
+        SELECT source, coalesce(lang, 'und') AS lang, 'words-1' AS tokenizer, count(*)::BIGINT AS n_docs,
                sum(len(regexp_extract_all(coalesce(text, ''), '\S+')))::BIGINT AS n_tokens, sum(length(coalesce(text, '')))::BIGINT AS n_chars
-        FROM documents GROUP BY source, lang
+        FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY coalesce(text, '')) GROUP BY ALL
     """,
     "op4_fingerprints": rf"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),

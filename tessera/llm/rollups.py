@@ -8,6 +8,7 @@ once under its id; totals are the sum of the committed batches.
 from __future__ import annotations
 
 import base64
+import uuid
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,6 +25,9 @@ TOKENIZERS = {"byte_bpe_50k": "/opt/tokenizers/byte_bpe_50k.tiktoken", "byte_bpe
 #: How byte-level BPE cuts text before merging: contractions, letters, digits, other marks, white space. Fixed value of these vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Bytes of a vocabulary file, at most.
+MAX_VOCABULARY = 64 * 1024 * 1024
+
 _made: dict[str, tiktoken.Encoding] = {}
 
 
@@ -35,17 +39,26 @@ def _encoding(name: str, vocabulary: bytes) -> tiktoken.Encoding:
     return _made[name]
 
 
+def _content(spark: SparkSession, path: str) -> bytes:
+    """Content of one file, at most MAX_VOCABULARY bytes."""
+    if "://" in path:
+        found = spark.read.format("binaryFile").load(path).filter(F.col("length") <= MAX_VOCABULARY).select("content").first()
+        if found is None:
+            raise ValueError(f"no vocabulary file of at most {MAX_VOCABULARY} bytes at {path}")
+        return bytes(found.content)
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def token_counts(docs: DataFrame, tokenizers: dict[str, str], *, text_col: str = "text", carry: tuple[str, ...] = ("doc_id", "source", "lang")) -> DataFrame:
     """The carried columns with tokenizer, n_tokens and n_chars: a row for each document and tokenizer.
 
-    Whole texts are counted; null and empty texts have 0 tokens. The vocabulary files are read on
-    the driver and broadcast (about a megabyte each).
+    Whole texts are counted; null and empty texts have 0 tokens. The vocabulary files (about a
+    megabyte each) are read once, a path with a scheme through Spark, and broadcast.
     """
-    held = {}
-    for name, path in tokenizers.items():
-        with open(path, "rb") as f:
-            held[name] = f.read()
-    shared = docs.sparkSession.sparkContext.broadcast(held)
+    spark = docs.sparkSession
+    held = {name: _content(spark, path) for name, path in tokenizers.items()}
+    shared = spark.sparkContext.broadcast(held)
     names = list(held)
 
     def run(rows: pa.StructArray) -> list[pa.Array]:
@@ -78,51 +91,78 @@ def revisions(old: DataFrame, new: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 class TokenRollup:
-    """Totals under one folder: deltas/<batch> holds a batch's sums, commits the ids of the batches that count.
+    """Totals under one folder, kept by any number of writers without locks.
 
-    A batch counts once its id is in commits, which is written last. An attempt that broke off
-    before is overwritten by the next one; a batch that is committed already is left alone, so
-    that a retried job changes nothing.
+    deltas/<batch>/<attempt> holds the sums of one attempt at a batch, and commits a JSON row for each
+    attempt that was finished, written last. A batch counts by exactly one of its finished attempts,
+    so an attempt that broke off, a retried job and two writers of one batch change nothing. A
+    compaction is a batch of sums that names all loaded batches it covers; of compactions that
+    overlap the one that covers most counts, and what it covers does not count again.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _commits(self) -> DataFrame | None:
+    def _commits(self) -> dict[str, tuple[str, list[str]]]:
+        """Attempt and covered batches of every committed batch; the list of batches, not their sums, is read."""
+        kind = "batch string, attempt string, covers array<string>"
         try:
-            return self.spark.read.schema("batch string, replaces array<string>").json(f"{self.path}/commits")
+            rows = self.spark.read.schema(kind).json(f"{self.path}/commits")
         except AnalysisException:  # no commit yet
-            return None
+            return {}
+        first = rows.groupBy("batch").agg(F.min(F.struct("attempt", "covers")).alias("c")).select("batch", "c.*")
+        return {r.batch: (r.attempt, list(r.covers or [])) for r in first.collect()}
 
     def committed(self) -> set[str]:
         """Ids of all batches that ever were committed."""
-        rows = self._commits()
-        return set() if rows is None else {r.batch for r in rows.select("batch").distinct().collect()}
-
-    def _counting(self) -> list[str]:
-        rows = self._commits()
-        if rows is None:
-            return []
-        gone = rows.select(F.explode("replaces").alias("batch"))
-        return sorted(r.batch for r in rows.select("batch").distinct().join(gone, "batch", "left_anti").collect())
+        return set(self._commits())
+
+    @staticmethod
+    def _counting(commits: dict[str, tuple[str, list[str]]]) -> list[str]:
+        """Batches whose sums add up to every loaded batch once."""
+        covered: set[str] = set()
+        out = []
+        for batch, (_, covers) in sorted(commits.items(), key=lambda c: (-len(c[1][1]), c[0])):
+            if covers and covered.isdisjoint(covers):
+                covered |= set(covers)
+                out.append(batch)
+        return sorted(out + [b for b, (_, covers) in commits.items() if not covers and b not in covered])
+
+    def _write(self, batch: str, changes: DataFrame, covers: list[str]) -> None:
+        attempt = uuid.uuid4().hex
+        sums = changes.groupBy(*KEYS).agg(*(F.sum(m).cast("long").alias(m) for m in MEASURES))
+        sums.write.parquet(f"{self.path}/deltas/{batch}/{attempt}")
+        mark = self.spark.createDataFrame([(batch, attempt, covers)], "batch string, attempt string, covers array<string>")
+        mark.coalesce(1).write.mode("append").json(f"{self.path}/commits")
 
-    def commit(self, batch: str, changes: DataFrame, replaces: list[str] | None = None) -> bool:
+    def commit(self, batch: str, changes: DataFrame) -> bool:
         """Sum the changes and add them under the id; False if the id is committed already."""
         if batch in self.committed():
             return False
-        sums = changes.groupBy(*KEYS).agg(*(F.sum(m).cast("long").alias(m) for m in MEASURES))
-        sums.write.mode("overwrite").parquet(f"{self.path}/deltas/{batch}")
-        mark = self.spark.createDataFrame([(batch, replaces or [])], "batch string, replaces array<string>")
-        mark.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        self._write(batch, changes, [])
         return True
 
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, n_docs, n_tokens, n_chars; groups whose documents are all gone are left out."""
+    def _sums(self, commits: dict[str, tuple[str, list[str]]]) -> DataFrame:
         kind = "source string, lang string, tokenizer string, n_docs long, n_tokens long, n_chars long"
-        paths = [f"{self.path}/deltas/{b}" for b in self._counting()]
+        paths = [f"{self.path}/deltas/{b}/{commits[b][0]}" for b in self._counting(commits)]
         rows = self.spark.read.schema(kind).parquet(*paths) if paths else self.spark.createDataFrame([], kind)
         return rows.groupBy(*KEYS).agg(*(F.sum(m).cast("long").alias(m) for m in MEASURES)).filter(" or ".join(f"{m} <> 0" for m in MEASURES))
 
-    def compact(self, batch: str) -> bool:
-        """One batch in place of all that count now; their ids stay known."""
-        return self.commit(batch, self.totals(), self._counting())
+    def totals(self) -> DataFrame:
+        """source, lang, tokenizer, n_docs, n_tokens, n_chars; groups whose documents are all gone are left out."""
+        return self._sums(self._commits())
+
+    def compact(self) -> str | None:
+        """One batch in place of all that count now; its id, or None if there is at most one.
+
+        The batches are listed once, and exactly those are summed and covered: what is committed
+        meanwhile goes on counting for itself.
+        """
+        commits = self._commits()
+        counting = self._counting(commits)
+        if len(counting) < 2:
+            return None
+        covers = sorted({x for b in counting for x in (commits[b][1] or [b])})
+        batch = f"compaction-{uuid.uuid4().hex}"
+        self._write(batch, self._sums(commits), covers)
+        return batch

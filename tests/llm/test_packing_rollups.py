@@ -57,8 +57,9 @@ def test_deltas_add_up_and_batches_count_once(spark, tmp_path):
     assert rollup.commit("b2", rollups.revisions(a, b))
     want = {("s", "en", "v2"): (1, 6, 20), ("s", None, "v1"): (1, 7, 30), ("t", "en", "v1"): (1, 1, 2)}
     assert totals(rollup) == want
-    assert rollup.compact("c1")
+    assert rollup.compact()
     assert totals(rollup) == want
+    assert rollup.compact() is None
     assert not rollup.commit("b2", rollups.inserts(a))
     assert rollup.commit("b3", rollups.deletes(b))
     assert totals(rollup) == {}
@@ -67,7 +68,7 @@ def test_deltas_add_up_and_batches_count_once(spark, tmp_path):
 def test_an_attempt_that_broke_off_is_overwritten(spark, tmp_path):
     a = counts(spark, [(1, "s", "en", "v1", 5, 20)])
     rollup = rollups.TokenRollup(spark, str(tmp_path / "r"))
-    rollups.inserts(a).groupBy("source", "lang", "tokenizer").sum().write.parquet(str(tmp_path / "r/deltas/b1"))
+    rollups.inserts(a).groupBy("source", "lang", "tokenizer").sum().write.parquet(str(tmp_path / "r/deltas/b1/broken"))
     assert totals(rollup) == {}
     assert rollup.commit("b1", rollups.inserts(a))
     assert totals(rollup) == {("s", "en", "v1"): (1, 5, 20)}
@@ -85,3 +86,36 @@ def test_token_counts_match_the_tokenizer(spark):
         e = rollups._encoding(name, data)
         assert all(got[k, name] == len(e.encode_ordinary(t or "")) for k, t in enumerate(texts()))
     assert all(e.decode(e.encode_ordinary(t or "")) == (t or "") for t in texts())
+
+
+def test_a_batch_committed_during_a_compaction_is_not_lost(spark, tmp_path, monkeypatch):
+    row = lambda k: counts(spark, [(k, "s", "en", "v1", k, 1)])
+    rollup = rollups.TokenRollup(spark, str(tmp_path / "r"))
+    rollup.commit("b1", rollups.inserts(row(1)))
+    rollup.commit("b2", rollups.inserts(row(10)))
+    write = rollups.TokenRollup._write
+
+    def late(self, batch, changes, covers):
+        monkeypatch.setattr(rollups.TokenRollup, "_write", write)
+        rollup.commit("b3", rollups.inserts(row(100)))
+        rollup.compact()
+        write(self, batch, changes, covers)
+
+    monkeypatch.setattr(rollups.TokenRollup, "_write", late)
+    assert rollup.compact()
+    assert totals(rollup) == {("s", "en", "v1"): (3, 111, 3)}
+    assert rollup.commit("b4", rollups.deletes(row(10))) and rollup.compact()
+    assert totals(rollup) == {("s", "en", "v1"): (2, 101, 2)}
+
+
+def test_two_writers_of_one_batch_count_once(spark, tmp_path, monkeypatch):
+    a = counts(spark, [(1, "s", "en", "v1", 5, 20)])
+    one, two = (rollups.TokenRollup(spark, str(tmp_path / "r")) for _ in range(2))
+    monkeypatch.setattr(rollups.TokenRollup, "committed", lambda self: set())  # both look before either has written
+    assert one.commit("b", rollups.inserts(a)) and two.commit("b", rollups.inserts(a))
+    assert totals(one) == {("s", "en", "v1"): (1, 5, 20)}
+
+
+def test_vocabulary_through_spark(spark, tmp_path):
+    (tmp_path / "v").write_bytes(b"QQ== 0")
+    assert rollups._content(spark, f"file://{tmp_path}/v") == rollups._content(spark, str(tmp_path / "v")) == b"QQ== 0"
