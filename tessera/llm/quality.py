@@ -1,9 +1,9 @@
 """Quality scores from two zstandard dictionaries, one of good and one of bad labelled text.
 
-A text is compressed piece by piece under both dictionaries. The normalised difference of the
-compressed sizes, together with the text's own compressed rate (which shows empty repetition)
-and its length, goes through a logistic calibration fitted on labelled rows that the
-dictionaries have not seen.
+A text is compressed piece by piece under both dictionaries. The normalised difference of the two
+compressed sizes, with length as its scale, and the normalised difference of the plain and the
+compressed size, which alone shows text that only repeats itself, go through a logistic
+calibration fitted on labelled rows that the dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ PER_LABEL = 3000
 DICTIONARY_BYTES, LEVEL = 32 * 1024, 3
 #: Characters compressed at a time: short enough that the dictionary matters throughout.
 PIECE = 400
-#: Training samples (of 1,000 bytes) that a dictionary is trained on, at most.
-SAMPLES = 4000
+#: Bytes that a dictionary is trained on, at most; beyond, samples of 1,000 bytes are taken evenly from all the text.
+TRAINING_BYTES = 32_000_000
 
 
 @dataclass
@@ -40,8 +40,9 @@ class QualityModel:
 
 def _dictionary(texts: list[str]) -> bytes | None:
     cut = [b[i : i + 1000] for t in texts for b in [t.encode()] for i in range(0, len(b), 1000)]
-    if len(cut) > SAMPLES:  # spread over all samples, not the first ones
-        cut = [cut[i * len(cut) // SAMPLES] for i in range(SAMPLES)]
+    most = TRAINING_BYTES // 1000
+    if len(cut) > most:
+        cut = [cut[i * len(cut) // most] for i in range(most)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, cut).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the text itself is the dictionary
@@ -56,27 +57,26 @@ def _compressor(dictionary: bytes | None) -> zstandard.ZstdCompressor:
 
 
 def sizes(texts: list[str | None], model: QualityModel) -> np.ndarray:
-    """Compressed bytes under the bad and the good dictionary, and characters, of each whole text."""
+    """Compressed bytes under the bad and the good dictionary, and plain bytes, of each whole text."""
     bad, good = _compressor(model.bad).compress, _compressor(model.good).compress
     out = np.empty((len(texts), 3))
     for k, text in enumerate(texts):
         text = text or ""
-        a = b = 0
+        a = b = n = 0
         for i in range(0, max(1, len(text)), PIECE):
             piece = text[i : i + PIECE].encode()
             a += len(bad(piece))
             b += len(good(piece))
-        out[k] = a, b, len(text)
+            n += len(piece)
+        out[k] = a, b, n
     return out
 
 
 def design(size: np.ndarray) -> np.ndarray:
-    """Calibration inputs: the normalised size difference, alone and with length; the compressed rate; the length."""
+    """Calibration inputs: normalised differences of bad and good size, alone and scaled by length, and of plain and good size."""
     bad, good, n = size.T
-    diff = (bad - good) / (bad + good)
-    rate = np.minimum(good / np.maximum(n, 1), 1.5)
-    length = np.log1p(n)
-    return np.stack([np.ones(len(n)), diff, diff * np.minimum(length, 8), rate, rate * rate, length], axis=1)
+    told, saved = (bad - good) / (bad + good), (n - good) / (n + good)
+    return np.stack([np.ones(len(n)), told, told * np.minimum(np.log1p(n), 8), saved, saved * saved], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -132,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, *, text_col: str = "te
         return pd.DataFrame({"label": frame["label"].iloc[:1], "dictionary": [_dictionary(list(frame["text"]))]})
 
     made = {r.label: r.dictionary and bytes(r.dictionary) for r in told.groupBy("label").applyInPandas(train, "label int, dictionary binary").collect()}
-    model = QualityModel(made.get(0), made.get(1), np.zeros(6))
+    model = QualityModel(made.get(0), made.get(1), np.zeros(5))
 
     def measure(rows: pa.StructArray) -> list[pa.Array]:
         return [pa.array(sizes(pc.struct_field(rows, ["text"]).to_pylist(), model).tolist(), pa.list_(pa.float64()))]
