@@ -4,15 +4,15 @@ A suffix automaton of sample text per language answers how long the text at hand
 as a substring of the sample. Reading a text greedily in longest matches cuts it into phrases;
 the language with the fewest phrases a letter wins.
 
-The automata are transition tables, dense for the most frequent letters of each language and
-sorted (state, letter) keys for its others, so that one numpy step advances many pieces of text
-at once: a text is parsed in pieces of fixed length, a border costing every language the same.
+An automaton's transitions lie in one array, each state's row shifted so that no two entries meet
+(row displacement): of any alphabet, a few bytes for each letter of the sample, and one numpy step
+advances many pieces of text at once. A text is parsed in pieces of fixed length, a border costing
+every language the same.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,13 +23,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import mapped
 
-#: Sample documents for each language and characters of its automaton, at most.
+#: Sample documents for each language and characters of them, at most. Documents are taken whole.
 SAMPLE_DOCS, SAMPLE_CHARS = 64, 40_000
-#: Letters of a language's dense table; the transitions of its rarer ones are sorted keys.
-ALPHABET = 62
+#: Cost of one phrase more in the score, in nats: phrases of one text are not independent, so far less than a back reference's.
+PHRASE_COST = 2.0
 #: Characters parsed as one piece, and characters of all pieces in flight.
 PIECE, FLIGHT = 256, 2_000_000
-_BREAK = np.uint32(1 << 31)
 UNKNOWN = "und"
 
 
@@ -73,73 +72,86 @@ def squeezed(text: str) -> str:
 
 
 @dataclass
-class Rare:
-    """Transitions of a language on letters outside its dense table: sorted keys state * size + symbol,
-    the state that each leads to, and by symbol the state that the letter leads to from the start."""
+class Automaton:
+    """Transitions of a language: from state x by letter c to to[base[x] + c] if check[base[x] + c] is x.
 
-    size: int
-    keys: np.ndarray
+    letters are the code points of the sample, c - 1 their place in it (0: not in the sample); root
+    has the states after one letter, the last state for a letter that the sample lacks.
+    """
+
+    letters: np.ndarray
+    base: np.ndarray
+    check: np.ndarray
     to: np.ndarray
     root: np.ndarray
 
 
+def packed(text: str) -> Automaton:
+    """Suffix automaton of a squeezed text with its rows shifted into one array."""
+    letters = sorted(set(text))
+    number = {c: k + 1 for k, c in enumerate(letters)}
+    go, count = automaton(text)
+    width = len(letters) + 1
+    base, check, to = np.zeros(count + 1, dtype=np.int64), [-1] * (2 * width), [0] * (2 * width)
+    low = last = width  # no free place before low, none taken behind last
+    for state in sorted(range(count), key=lambda x: -len(go[x])):
+        edges = sorted((number[c], x) for c, x in go[state].items())
+        if not edges:
+            break
+        while check[low] >= 0:
+            low += 1
+            if low + width >= len(check):
+                check += [-1] * (len(check) + width)
+                to += [0] * (len(to) + width)
+        # rows with several letters go near the end, those with one then fill the holes
+        place = low if len(edges) == 1 else max(low, last - 32)
+        while True:
+            at = place - edges[0][0]
+            if at + width >= len(check):
+                check += [-1] * (len(check) + width)
+                to += [0] * (len(to) + width)
+            if all(check[at + c] < 0 for c, _ in edges):
+                break
+            place += 1
+        base[state] = at
+        for c, x in edges:
+            check[at + c], to[at + c] = state, x
+        last = max(last, at + edges[-1][0])
+    root = np.full(width, count, dtype=np.uint32)
+    for c, x in go[0].items():
+        root[number[c]] = x
+    size = int(base.max()) + width + 1
+    return Automaton(np.array([ord(c) for c in letters], dtype=np.int32), base.astype(np.int32), np.array(check[:size], dtype=np.int32), np.array(to[:size], dtype=np.uint32), root)
+
+
 @dataclass
 class LanguageModel:
-    """names; number of a code point among the letters of all samples (0: in none); for each language
-    the symbol of each such number (0: not in its sample), a flat table and the rare transitions, if any.
-
-    A table entry is the next state, with the top bit set where the phrase ended and the letter
-    began a new one.
-    """
+    """names; number of a code point among the letters of all samples (0: in none); by language its automaton
+    and the letter in it of each such number."""
 
     names: list[str]
     letters: np.ndarray
     symbols: list[np.ndarray]
-    tables: list[np.ndarray]
-    rare: list[Rare | None]
-
-    @property
-    def width(self) -> int:
-        return ALPHABET + 2
+    automata: list[Automaton]
 
 
-def build(samples: dict[str, str]) -> LanguageModel:
-    """Model from sample text by language."""
-    names = sorted(samples)
-    texts = {k: squeezed(samples[k])[:SAMPLE_CHARS] for k in names}
-    known = sorted(set("".join(texts.values())))
+def model_of(automata: dict[str, Automaton]) -> LanguageModel:
+    """Model of the languages' automata."""
+    names = sorted(automata)
+    known = np.unique(np.concatenate([automata[k].letters for k in names])) if names else np.zeros(0, np.int32)
     letters = np.zeros(0x110000, dtype=np.uint32)
-    for k, c in enumerate(known):
-        letters[ord(c)] = k + 1
-    width = ALPHABET + 2
-    symbols, tables, rare = [], [], []
-    for name in names:
-        own = [c for c, _ in sorted(Counter(texts[name]).items(), key=lambda x: (-x[1], x[0])) if c != " "]
-        number = {" ": 1} | {c: k + 2 for k, c in enumerate(own)}
+    letters[known] = np.arange(1, len(known) + 1)
+    symbols = []
+    for k in names:
         symbol = np.zeros(len(known) + 1, dtype=np.uint32)
-        for c, k in number.items():
-            symbol[letters[ord(c)]] = k
-        symbol[0] = 0
-        go, count = automaton(texts[name])
-        size = max(width, len(number) + 1)
-        # one more state follows a letter the sample lacks, which is a phrase of its own
-        root = np.full(size, count, dtype=np.uint32)
-        for c, to in go[0].items():
-            root[number[c]] = to
-        table = np.tile(root[:width] | _BREAK, (count + 1, 1))
-        table[0] = root[:width]  # only the start of a piece is in state 0, where a phrase is open already
-        far = []
-        for s, edges in enumerate(go):
-            for c, to in edges.items():
-                if number[c] < width:
-                    table[s, number[c]] = to
-                else:
-                    far.append((s * size + number[c], to))
-        pairs = np.array(sorted(far), dtype=np.int64).reshape(-1, 2)
+        symbol[letters[automata[k].letters]] = np.arange(1, len(automata[k].letters) + 1)
         symbols.append(symbol)
-        tables.append(table.reshape(-1))
-        rare.append(Rare(size, pairs[:, 0].copy(), pairs[:, 1].astype(np.uint32), root) if far else None)
-    return LanguageModel(names, letters, symbols, tables, rare)
+    return LanguageModel(names, letters, symbols, [automata[k] for k in names])
+
+
+def build(samples: dict[str, str]) -> LanguageModel:
+    """Model from sample text by language."""
+    return model_of({k: packed(squeezed(t)) for k, t in samples.items()})
 
 
 def phrases(texts: list[str], model: LanguageModel) -> np.ndarray:
@@ -158,56 +170,78 @@ def phrases(texts: list[str], model: LanguageModel) -> np.ndarray:
     order = np.argsort(-size, kind="stable")
     start, owner, size = start[order], owner[order], size[order]
     alive = np.searchsorted(-size, -np.arange(PIECE), side="left")
-    width = np.uint32(model.width)
-    for lang, (symbol, table, rare) in enumerate(zip(model.symbols, model.tables, model.rare, strict=True)):
+    for lang, (symbol, held) in enumerate(zip(model.symbols, model.automata, strict=True)):
         own = symbol[flat]
-        state = np.zeros(len(start), dtype=np.uint32)
+        state = held.root[own[start]] if len(start) else np.zeros(0, np.uint32)
         count = np.ones(len(start), dtype=np.int64)
-        for step in range(PIECE):
+        for step in range(1, PIECE):
             n = int(alive[step])
             if not n:
                 break
-            letter = own[start[:n] + step]
-            if rare is None:
-                got = table[state[:n] * width + letter]
-            else:
-                got = table[state[:n] * width + np.where(letter < width, letter, np.uint32(0))]
-                far = np.flatnonzero(letter >= width)
-                key = state[far].astype(np.int64) * rare.size + letter[far]
-                at = np.minimum(np.searchsorted(rare.keys, key), len(rare.keys) - 1)
-                got[far] = np.where(rare.keys[at] == key, rare.to[at], rare.root[letter[far]] | _BREAK)
-            count[:n] += got >= _BREAK
-            state[:n] = got & ~_BREAK
+            letter, now = own[start[:n] + step], state[:n]
+            at = held.base[now] + letter
+            on = held.check[at] == now
+            state[:n] = np.where(on, held.to[at], held.root[letter])
+            count[:n] += ~on
         out[:, lang] = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
     return out
 
 
-def sample(docs: DataFrame, keep: Column, *, text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
-    """Bounded sample text by language: of each hash class of ids, the document with the least hash.
+def _taken(texts: list[str]) -> str:
+    """Whole texts in order as long as they fit; of none that fits, pieces from all over the first."""
+    taken, size = [], 0
+    for text in texts:
+        if size + len(text) + 1 <= SAMPLE_CHARS and text:
+            taken.append(text)
+            size += len(text) + 1
+    if not taken and texts:
+        n = SAMPLE_CHARS // 400
+        taken = [texts[0][k * len(texts[0]) // n :][:399] for k in range(n)]
+    return " ".join(taken)
 
-    Up to SAMPLE_DOCS documents for each language, cut to SAMPLE_CHARS characters; the least
-    hashes are found with a map-side minimum, so no language is gathered in one place.
+
+def _picked(docs: DataFrame, keep: Column, text_col: str, lang_col: str) -> DataFrame:
+    """(lang, h, text): of each hash class of ids, the document with the least hash among those short enough to fit with others, or else among all.
+
+    Up to SAMPLE_DOCS documents for each language; the least hashes are found with a map-side
+    minimum, so no language is gathered in one place.
     """
     base = docs.select("doc_id", F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).filter(keep & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    hashed = base.withColumn("h", F.xxhash64("doc_id")).withColumn("g", F.pmod("h", F.lit(SAMPLE_DOCS)))
+    hashed = base.withColumn("h", F.struct((F.length("text") > SAMPLE_CHARS // 4).alias("long"), F.xxhash64("doc_id").alias("hash"))).withColumn("g", F.pmod("h.hash", F.lit(SAMPLE_DOCS)))
     least = hashed.groupBy("lang", "g").agg(F.min("h").alias("h")).select("lang", "h")
     # at most SAMPLE_DOCS rows a language, a small fixed number of languages
-    picked = hashed.select("lang", "h", "text").join(F.broadcast(least), ["lang", "h"])
+    return hashed.select("lang", "h", "text").join(F.broadcast(least), ["lang", "h"]).select("lang", "h.long", "h.hash", "text")
+
+
+def sample(docs: DataFrame, keep: Column, *, text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
+    """Sample text by language, at most SAMPLE_CHARS characters each."""
 
     def cut(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["h", "text"])
-        share = max(1, SAMPLE_CHARS // len(frame)) * 4
-        text = " ".join(squeezed(t[:share]) for t in frame["text"])
-        return pd.DataFrame({"lang": frame["lang"].iloc[:1], "text": [text[:SAMPLE_CHARS]]})
+        texts = frame.sort_values(["long", "hash", "text"])["text"]
+        return pd.DataFrame({"lang": frame["lang"].iloc[:1], "text": [_taken([squeezed(t) for t in texts])]})
+
+    return {r.lang: r.text for r in _picked(docs, keep, text_col, lang_col).groupBy("lang").applyInPandas(cut, "lang string, text string").collect()}
+
+
+def fit(docs: DataFrame, keep: Column, *, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """Model from the rows that keep allows; each language's automaton is built in a task and takes about a megabyte."""
+    fields = ("letters", "base", "check", "to", "root")
+
+    def made(frame: pd.DataFrame) -> pd.DataFrame:
+        texts = frame.sort_values(["long", "hash", "text"])["text"]
+        held = packed(_taken([squeezed(t) for t in texts]))
+        return pd.DataFrame({"lang": frame["lang"].iloc[:1], **{f: [getattr(held, f).tobytes()] for f in fields}})
 
-    return {r.lang: r.text for r in picked.groupBy("lang").applyInPandas(cut, "lang string, text string").collect()}
+    rows = _picked(docs, keep, text_col, lang_col).groupBy("lang").applyInPandas(made, "lang string, " + ", ".join(f"{f} binary" for f in fields)).collect()
+    kinds = {"letters": np.int32, "base": np.int32, "check": np.int32, "to": np.uint32, "root": np.uint32}
+    return model_of({r.lang: Automaton(*(np.frombuffer(r[f], dtype=kinds[f]) for f in fields)) for r in rows})
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Rows of docs (struct row) with lang_pred and score.
 
-    score is the softmax share of the winner when each phrase costs the length of a back
-    reference; near 1 when no other language parses the text nearly as well. A text that is null
+    score is the softmax share of the winner when each phrase costs PHRASE_COST; near 1 when no
+    other language parses the text nearly as well. A text that is null
     or has no letter is "und" with score 0; ties go to the first language by name; without any
     language every text is "und".
     """
@@ -233,7 +267,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", c
                 row = counts[k].astype(float)
                 best = int(np.argmin(row))
                 names.append(model.names[best])
-                scores.append(float(1 / np.exp(-(row - row[best]) * 2.0).sum()))
+                scores.append(float(1 / np.exp(-(row - row[best]) * PHRASE_COST).sum()))
             at = end
         return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
 

@@ -18,7 +18,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
     out = quality.scored(docs, model, carry=["doc_id"]).select("row.doc_id", "score")
-    return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
 def _maintained(spark: SparkSession, docs: DataFrame, counts: DataFrame) -> DataFrame:
@@ -90,9 +90,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; labels only from rows whose fold of 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
-    model = langid.build(langid.sample(docs, fold(F.col("doc_id"), 4) != 2))
+    model = langid.fit(docs, fold(F.col("doc_id"), 4) != 2)
     out = langid.identify(docs, model, carry=["doc_id"]).select("row.doc_id", "lang_pred", "score")
-    return out.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
