@@ -1,9 +1,10 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
 Documents are dealt into shards of bounded size by a hash; every shard is packed on its own,
-longest piece first. A piece goes to the open bin that it fills best; if none takes it, a bin of
-the size is opened that costs least per token it can expect to hold; at the end each bin shrinks
-to the smallest permitted length that its contents need.
+longest piece first, of equal ones the earlier row. A piece goes to the open bin that it fills best;
+if none takes it, every permitted size is filled on trial with the pieces that are still to come,
+and the size is opened whose contents then cost least per token; at the end each bin shrinks to the
+smallest permitted length that its contents need.
 """
 
 from __future__ import annotations
@@ -34,23 +35,36 @@ def word_count(text: Column) -> Column:
 
 
 def best_fit(lengths: Sequence[int], capacities: Sequence[int]) -> list[tuple[int, int, int]]:
-    """(bin, offset, capacity) of each piece; lengths are 1..max(capacities)."""
+    """(bin, offset, capacity) of each piece; lengths are 1..max(capacities). Of sizes that cost the same the smaller one is opened."""
     sizes = sorted(capacities)
     order = sorted(range(len(lengths)), key=lambda k: (-lengths[k], k))
-    left = sum(lengths)
+    falling = [-lengths[k] for k in order]
     free: list[tuple[int, int]] = []  # (room, bin), open bins by room
     used: list[int] = []
     at: list[tuple[int, int]] = [(0, 0)] * len(lengths)
-    for k in order:
+
+    def trial(room: int, after: int) -> int:
+        """Tokens that pieces still to come put into so much room, the longest that fits each time."""
+        rest, i = room, after
+        while rest and (i := bisect_left(falling, -rest, i)) < len(falling):
+            rest += falling[i]
+            i += 1
+        return room - rest
+
+    for place, k in enumerate(order):
         need = lengths[k]
-        left -= need
         i = bisect_left(free, (need, -1))
         if i < len(free):
             room, b = free.pop(i)
         else:
             b = len(used)
             used.append(0)
-            room = min((c for c in sizes if c >= need), key=lambda c: (cost(c) / min(c, need + left), c))
+            best = (float("inf"), 0)
+            for c in sizes:
+                if c >= need:
+                    held = need + trial(c - need, place + 1)
+                    best = min(best, (cost(next(s for s in sizes if s >= held)) / held, c))
+            room = best[1]
         at[k] = (b, used[b])
         used[b] += need
         if room > need:
@@ -59,6 +73,11 @@ def best_fit(lengths: Sequence[int], capacities: Sequence[int]) -> list[tuple[in
     return [(b, o, final[b]) for b, o in at]
 
 
+def total_cost(packed: list[tuple[int, int, int]]) -> float:
+    """Cost of all bins of a packing."""
+    return sum(cost(c) for _, c in {(b, c) for b, _, c in packed})
+
+
 def pack(docs: DataFrame, *, id_col: str = "doc_id", length: Column | None = None, capacities: Sequence[int] = CAPACITIES) -> DataFrame:
     """One row per piece: doc_id, piece, start, n_tokens, bin_id, bin_offset, capacity.
 

@@ -119,3 +119,42 @@ def test_two_writers_of_one_batch_count_once(spark, tmp_path, monkeypatch):
 def test_vocabulary_through_spark(spark, tmp_path):
     (tmp_path / "v").write_bytes(b"QQ== 0")
     assert rollups._content(spark, f"file://{tmp_path}/v") == rollups._content(spark, str(tmp_path / "v")) == b"QQ== 0"
+
+
+def least_cost(lengths, sizes):
+    """Least cost of any packing, by dynamic programming over subsets."""
+    n = len(lengths)
+    total = [sum(x for k, x in enumerate(lengths) if m >> k & 1) for m in range(1 << n)]
+    price = [next((packing.cost(c) for c in sorted(sizes) if c >= t), None) for t in total]
+    best = [0.0] + [float("inf")] * ((1 << n) - 1)
+    for m in range(1, 1 << n):
+        low, sub = m & -m, m
+        while sub:
+            if sub & low and price[sub] is not None:
+                best[m] = min(best[m], best[m ^ sub] + price[sub])
+            sub = (sub - 1) & m
+    return best[-1]
+
+
+def test_cost_is_near_the_least():
+    rng = random.Random(6)
+    found = least = 0.0
+    for _ in range(60):
+        sizes = (256, 512, 1024)
+        lengths = [rng.choice((rng.randint(1, 1024), rng.randint(1, 300))) for _ in range(rng.randint(1, 9))]
+        got, want = packing.total_cost(packing.best_fit(lengths, sizes)), least_cost(lengths, sizes)
+        assert want - 1e-6 <= got <= 1.35 * want
+        found, least = found + got, least + want
+    assert found <= 1.04 * least
+
+
+def test_several_lengths_cost_less_than_any_one():
+    rng = random.Random(7)
+    draws = {"short": lambda: rng.randint(1, 200), "middling": lambda: rng.randint(150, 700), "long": lambda: min(4095, int(rng.paretovariate(0.8) * 60)), "alike": lambda: 600, "sparse": lambda: rng.choice((200, 1500, 3000))}
+    for name, draw in draws.items():
+        lengths = [draw() for _ in range(4000)]
+        joint = packing.total_cost(packing.best_fit(lengths, packing.CAPACITIES))
+        fixed = {c: packing.total_cost(packing.best_fit(lengths, (c,))) for c in packing.CAPACITIES if c >= max(lengths)}
+        assert joint <= 1.001 * min(fixed.values()), (name, joint, fixed)
+    assert {c for _, _, c in packing.best_fit([200] * 3 + [250], packing.CAPACITIES)} <= {256, 512, 1024}
+    assert packing.best_fit([200], packing.CAPACITIES) == [(0, 0, 256)]
