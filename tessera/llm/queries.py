@@ -67,6 +67,11 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(table(spark, sf_dir, "documents"), blocks=blocks)
 
 
+def op4_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of equal fingerprints, and how many other classes each is like."""
+    return spotsigs.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
     return licenses.license_spans(table(spark, sf_dir, "documents"))
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_word_counts": op2_word_counts,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_fingerprints": op4_fingerprints,
+    "op4_similar_documents": op4_similar_documents,
     "op5_license_spans": op5_license_spans,
     "op6_personal_data": op6_personal_data,
     "op7_packing": op7_packing,
@@ -121,6 +127,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _ANCHORS = "[" + ", ".join(f"'{a}'" for a in spotsigs.ANCHORS) + "]"
 
+#: From texts b (doc_id, k, body) to their sorted distinct signatures p (doc_id, k, q).
+_PRINTS = rf"""
+        low AS (SELECT *, translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower FROM b),
+        sp AS (SELECT *, regexp_extract_all(lower, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a0 FROM low),
+        wd AS (SELECT doc_id, k, body, CASE WHEN length(body) >= {spotsigs.UNSPACED} * greatest(len(a0), 1) THEN regexp_extract_all(lower, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]') ELSE a0 END AS a, {_ANCHORS} AS s FROM sp),
+        ch AS (
+            SELECT *, list_filter(list_transform(list_filter(range(1, len(a) + 1), lambda i: list_contains(s, a[i])),
+                lambda i: a[i] || ':' || array_to_string(list_slice(list_filter(list_slice(a, i + 1, i + 8), lambda x: NOT list_contains(s, x)), 1, 2), ' ')), lambda g: contains(g, ' ')) AS g FROM wd),
+        h AS (
+            SELECT doc_id, k, body, CASE
+                WHEN len(g) > 0 AND len(g) * {spotsigs.SPARSE} >= len(a) THEN g
+                WHEN len(a) > 2 THEN list_transform(range(1, len(a) - 1), lambda i: a[i] || ':' || a[i + 1] || ' ' || a[i + 2])
+                ELSE [body] END AS g FROM ch),
+        p AS MATERIALIZED (SELECT doc_id, k, list_sort(list_distinct(list_transform(g, lambda x: md5(x)[1:8]))) AS q FROM h)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_word_counts": r"""
         SELECT source, coalesce(lang, 'und') AS lang, 'words-1' AS tokenizer, count(*)::BIGINT AS n_docs,
@@ -131,22 +153,20 @@ ORACLE_SQL: dict[str, str] = {
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
         e AS (SELECT *, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nt, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS nid FROM d WINDOW w AS (ORDER BY doc_id)),
         f AS (SELECT doc_id, nid, n, t, left(t, (n - n // 2)::BIGINT) || left(nt, (n // 2)::BIGINT) AS x FROM e),
-        b AS (SELECT doc_id, 1 AS k, t AS body FROM f UNION ALL SELECT doc_id, 2, x FROM f),
-        w AS (SELECT *, regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a, {_ANCHORS} AS s FROM b),
-        c AS (
-            SELECT *, list_filter(list_transform(list_filter(range(1, len(a) + 1), lambda i: list_contains(s, a[i])),
-                lambda i: a[i] || ':' || array_to_string(list_slice(list_filter(list_slice(a, i + 1, i + 8), lambda x: NOT list_contains(s, x)), 1, 2), ' ')), lambda g: contains(g, ' ')) AS g FROM w),
-        h AS (
-            SELECT doc_id, k, body, CASE
-                WHEN len(g) > 0 THEN g
-                WHEN len(a) > 2 THEN list_transform(range(1, len(a) - 1), lambda i: a[i] || ':' || a[i + 1] || ' ' || a[i + 2])
-                ELSE [body] END AS g FROM c),
-        p AS (SELECT doc_id, k, list_sort(list_distinct(list_transform(g, lambda x: md5(x)[1:8]))) AS q FROM h)
+        b AS (SELECT doc_id, 1 AS k, t AS body FROM f UNION ALL SELECT doc_id, 2, x FROM f), {_PRINTS}
         SELECT f.doc_id, f.n AS n_chars, sha256(f.x) AS edited_sha256, array_to_string(a.q, ' ') AS fingerprint, array_to_string(b.q, ' ') AS edited_fingerprint,
                len(list_intersect(a.q, b.q)) / (len(a.q) + len(b.q) - len(list_intersect(a.q, b.q)))::DOUBLE AS near_edited,
                len(list_intersect(a.q, c.q)) / (len(a.q) + len(c.q) - len(list_intersect(a.q, c.q)))::DOUBLE AS near_next
         FROM f JOIN p a ON a.doc_id = f.doc_id AND a.k = 1 JOIN p b ON b.doc_id = f.doc_id AND b.k = 2 JOIN p c ON c.doc_id = f.nid AND c.k = 1
     """,
+    "op4_similar_documents": rf"""
+        WITH b AS (SELECT doc_id, 1 AS k, coalesce(text, '') AS body FROM documents), {_PRINTS},
+        c AS MATERIALIZED (SELECT min(doc_id) AS id, q, len(q) AS n FROM p GROUP BY q),
+        s AS (SELECT id, n, unnest(q) AS g FROM c),
+        j AS (SELECT x.id AS a, y.id AS b, x.n + y.n - count(*) AS n_either, count(*) AS n_both FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY x.id, y.id, x.n, y.n),
+        l AS (SELECT a, count(*) AS n FROM j WHERE 4 * n_both >= 3 * n_either GROUP BY a)
+        SELECT p.doc_id, c.id AS class_id, coalesce(l.n, 0)::BIGINT AS n_links FROM p JOIN c ON c.q = p.q LEFT JOIN l ON l.a = c.id
+    """,
     # distinct five-word shingles, pairs that share one, exact overlap, reachability
     "op3_near_duplicates": r"""
         WITH RECURSIVE w AS (

@@ -25,35 +25,61 @@ ANCHORS = tuple(dict.fromkeys(ANCHORS))
 #: Content words in a chain, and words after the anchor among which they are sought.
 CHAIN, REACH = 2, 8
 #: Words are runs of digits, ASCII letters and everything outside ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words for each anchored chain, at most, in a text that anchors can stand for.
+SPARSE = 20
+#: Code points for each word, at least, in a text that is written without spaces.
+UNSPACED = 24
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _chained(words: Column, anchored: bool) -> Column:
-    """Hashed chains of the anchors in the words, or of every word if not anchored."""
-    place = F.sequence(F.lit(1), F.size(words))
-    if anchored:
-        starts = F.filter(place, lambda i: F.get(words, i - 1).isin(*ANCHORS))
-        after = lambda i: F.slice(F.filter(F.slice(words, i + 1, REACH), lambda w: ~w.isin(*ANCHORS)), 1, CHAIN)
-    else:
-        starts, after = place, lambda i: F.slice(words, i + 1, CHAIN)
-    chains = F.filter(F.transform(starts, lambda i: F.struct(F.get(words, i - 1).alias("a"), after(i).alias("c"))), lambda s: F.size(s["c"]) == CHAIN)
-    return F.transform(chains, lambda s: F.substring(F.md5(F.concat(s["a"], F.lit(":"), F.array_join(s["c"], " "))), 1, 8))
+def _signature(a: Column, b: Column, c: Column) -> Column:
+    return F.substring(F.md5(F.concat(a, F.lit(":"), b, F.lit(" "), c)), 1, 8)
+
+
+def _anchored(words: Column) -> Column:
+    """Hashed chains of the anchors in the words.
+
+    The content words behind the r-th anchor, at place i, begin at the (i - r)-th content word, so
+    one look at each word tells all chains.
+    """
+    place = F.sequence(F.lit(0), F.size(words) - 1)
+    anchors = F.filter(place, lambda i: F.get(words, i).isin(*ANCHORS))
+    content = F.filter(place, lambda i: ~F.get(words, i).isin(*ANCHORS))
+
+    def chain(both: Column) -> Column:
+        def one(i: Column, r: Column) -> Column:
+            first, second = F.get(both["c"], i - r), F.get(both["c"], i - r + 1)
+            return F.when(second - i <= REACH, _signature(F.get(words, i), F.get(words, first), F.get(words, second)))
+
+        return F.filter(F.transform(both["a"], one), lambda s: s.isNotNull())
+
+    # the places are found once for all chains
+    return F.get(F.transform(F.array(F.struct(anchors.alias("a"), content.alias("c"))), chain), 0)
+
+
+def _unanchored(words: Column) -> Column:
+    """Hashed chains of every word and the two after it."""
+    return F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: _signature(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with the fingerprint of a text column: its sorted distinct signatures, joined by spaces.
 
-    A text without a full chain after an anchor has the chains of all its words instead; one
-    without even those has the hash of its whole text. Null counts as empty. Equal texts have
-    equal fingerprints.
+    A text with fewer anchored chains than one in SPARSE words (another language than the anchors')
+    has the chains of all its words instead; in a text written without spaces every character is a
+    word. One of fewer than three words has the hash of its whole text. Null counts as empty. Equal
+    texts have equal fingerprints, which depend on nothing else.
     """
     words, sigs = f"{out}_words", f"{out}_sigs"
     body = F.coalesce(F.col(text), F.lit(""))
-    df = df.withColumn(words, F.regexp_extract_all(F.translate(body, _UPPER, _LOWER), F.lit(WORD), F.lit(0)))
-    df = df.withColumn(sigs, F.when(F.size(words) > CHAIN, _chained(F.col(words), True)).otherwise(F.array().cast("array<string>")))
+    lower = F.translate(body, _UPPER, _LOWER)
+    df = df.withColumn(words, F.array_remove(F.split(lower, BETWEEN), ""))
+    single = F.array_remove(F.split(F.regexp_replace(lower, BETWEEN, ""), ""), "")
+    df = df.withColumn(words, F.when(F.length(body) >= UNSPACED * F.greatest(F.size(words), F.lit(1)), single).otherwise(F.col(words)))
+    df = df.withColumn(sigs, F.when(F.size(words) > CHAIN, _anchored(F.col(words))).otherwise(F.array().cast("array<string>")))
     whole = F.array(F.substring(F.md5(body), 1, 8))
-    chosen = F.when(F.size(sigs) > 0, F.col(sigs)).when(F.size(words) > CHAIN, _chained(F.col(words), False)).otherwise(whole)
+    chosen = F.when((F.size(sigs) > 0) & (F.size(sigs) * SPARSE >= F.size(words)), F.col(sigs)).when(F.size(words) > CHAIN, _unanchored(F.col(words))).otherwise(whole)
     return df.withColumn(out, F.array_join(F.array_sort(F.array_distinct(chosen)), " ")).drop(words, sigs)
 
 
@@ -92,6 +118,22 @@ def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
     return pairs.filter(F.col("likeness") >= threshold)
 
 
+def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.75) -> DataFrame:
+    """doc_id, class_id, n_links of every row: the least id with the same fingerprint, and how many other classes are alike.
+
+    Rows without an id have no class and no links.
+    """
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    prints = written(with_fingerprint(base, "text", "fingerprint").select("id", "fingerprint"), "prints")
+    named = prints.filter("id is not null")
+    pairs = similar_pairs(named, threshold)
+    links = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").cast("long").alias("n_links"))
+    classes = named.groupBy("fingerprint").agg(F.min("id").alias("class_id")).join(links, "class_id", "left")
+    found = named.join(classes, "fingerprint").select(F.col("id").alias("doc_id"), "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    none = F.lit(None).cast(base.schema["id"].dataType)
+    return found.unionByName(prints.filter("id is null").select(F.col("id").alias("doc_id"), none.alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+
+
 def with_next(docs: DataFrame, blocks: int) -> DataFrame:
     """(doc_id, text, fingerprint, next_text, next_fingerprint) for docs (doc_id, text) in ascending doc_id, the first after the last.
 
