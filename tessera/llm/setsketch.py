@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import written
-from .components import components
+from .components import components, hot_keys, looked_up
 from .textnum import SPACED, mix, pieces, shingle_sets, utf8, words
 
 #: A link at 75 % is missed by all bands with probability (1 - 0.75**ROWS)**BANDS, about 5e-6.
@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     feats = written(base.mapInArrow(_features(size), "id long, n_shingles long, s1 long, s2 long, regs binary"), "features")
     sized = feats.filter("n_shingles > 0 and id is not null")
-    classes = sized.groupBy("s1", "s2").agg(F.min("id").alias("rep"))
+    same = ["n_shingles", "s1", "s2"]
+    classes = sized.groupBy(*same).agg(F.min("id").alias("rep"))
     sketches = written(sized.select("id", "n_shingles", "regs").join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "sketches")
     bands = sketches.mapInArrow(_band_keys, "key long, id long")
     full = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -226,16 +227,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             near = near.join(texts.select(F.col("id").alias(end), F.col("text").alias(f"t{end}")), end)
         return written(near.select("a", "b", "ta", "tb").mapInArrow(_confirmed(size, percent), "a long, b long"), "links")
 
-    def labelled(labels: DataFrame, side: DataFrame, col: str, out: str) -> DataFrame:
-        got = labels.select(F.col("id").alias(col), F.col("label").alias(out))
-        return side.join(got, col, "left").withColumn(out, F.coalesce(out, col))
+    def labelled(labels: DataFrame, side: DataFrame, col: str, out: str, spread: str | None = None) -> DataFrame:
+        """side with the label of its column col; spread, another column, splits the rows of a frequent value."""
+        if spread:
+            got = looked_up(side, col, spread, labels.select(F.col("id").alias("key"), F.col("label").alias("value")), out, hot_keys(side, col, side.count()))
+        else:
+            got = side.join(labels.select(F.col("id").alias(col), F.col("label").alias(out)), col, "left")
+        return got.withColumn(out, F.coalesce(out, col))
 
     # each document against the leaders it meets in most buckets
     links, tested, labels = [], None, None
     for _ in range(STARS):
         left = met
         if labels is not None:
-            left = labelled(labels, labelled(labels, met, "id", "li"), "lead", "ll").filter("li <> ll")
+            left = labelled(labels, labelled(labels, met, "lead", "ll", "id"), "id", "li").filter("li <> ll")
             left = left.join(tested.select(F.col("a").alias("lead"), F.col("b").alias("id")), ["id", "lead"], "left_anti")
         best = F.max_by("lead", F.struct("count", F.negative("lead")))
         pairs = written(left.groupBy("id").agg(best.alias("lead")).select(F.col("lead").alias("a"), F.col("id").alias("b")), "tested")
@@ -256,7 +261,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             labels = components(reduce(DataFrame.union, links))
     else:
         labels = classes.select(F.col("rep").alias("id"), F.col("rep").alias("label")).limit(0)
-    owners = labelled(labels, classes, "rep", "label").select("s1", "s2", "label")
-    out = feats.select("id", "n_shingles", "s1", "s2").join(owners, ["s1", "s2"], "left")
+    owners = labelled(labels, classes, "rep", "label").select(F.struct(*same).alias("key"), F.col("label").alias("value"))
+    rows = feats.select("id", "n_shingles", F.struct(*same).alias("of"))
+    out = looked_up(rows, "of", "id", owners, "label", hot_keys(rows, "of", rows.count()))
     own = F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("label", "id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", own.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
