@@ -32,36 +32,37 @@ def edges_by_to(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @add("""
-    SELECT 'CUS' || o_custkey AS key, 'ORD' || o_orderkey AS other, 'reverse' AS direction FROM orders WHERE o_custkey % 97 = 5
-    UNION SELECT 'ORD' || o_orderkey, 'CUS' || o_custkey, 'forward' FROM orders WHERE o_orderkey % 501 = 7
+    SELECT 'CUS' || o_custkey AS key, 'ORD' || o_orderkey AS other, 'reverse' AS direction FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+    UNION SELECT 'ORD' || o_orderkey, 'CUS' || o_custkey, 'forward' FROM orders WHERE o_orderpriority = '1-URGENT'
 """)
 def follow_one_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One relation both ways for a key list."""
     edge = links(spark, sf_dir, ("customer",))
     orders = table(spark, sf_dir, "orders")
-    back = graph.follow(edge, orders.filter("o_custkey % 97 = 5").select(node("CUS", "o_custkey").alias("key")), "customer", reverse=True)
-    out = graph.follow(edge, orders.filter("o_orderkey % 501 = 7").select(node("ORD", "o_orderkey").alias("key")), "customer")
+    builders = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
+    back = graph.follow(edge, builders.select(node("CUS", "c_custkey").alias("key")), "customer", reverse=True)
+    out = graph.follow(edge, orders.filter("o_orderpriority = '1-URGENT'").select(node("ORD", "o_orderkey").alias("key")), "customer")
     return back.withColumn("direction", F.lit("reverse")).union(out.withColumn("direction", F.lit("forward")))
 
 
 @add(f"""
-    WITH l AS ({LINKS_SQL}), k AS (SELECT 'NAT' || n_nationkey AS key FROM nation WHERE n_nationkey % 5 = 1)
+    WITH l AS ({LINKS_SQL}), k AS (SELECT 'NAT' || n_nationkey AS key FROM nation WHERE n_regionkey = 1)
     SELECT DISTINCT f AS "from", t AS "to", r AS relation FROM l WHERE f IN (SELECT key FROM k) OR t IN (SELECT key FROM k)
 """)
 def links_both_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links with a wanted key at either end, each once."""
-    keys = table(spark, sf_dir, "nation").filter("n_nationkey % 5 = 1").select(node("NAT", "n_nationkey").alias("key"))
+    keys = table(spark, sf_dir, "nation").filter("n_regionkey = 1").select(node("NAT", "n_nationkey").alias("key"))
     return graph.both_ends(links(spark, sf_dir), keys)
 
 
 @add("""
     SELECT c_nationkey::BIGINT AS nation, l_partkey AS part, count(*)::BIGINT AS n_paths FROM customer
-    JOIN orders ON o_custkey = c_custkey JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) ON l_orderkey = o_orderkey
-    WHERE l_partkey % 10 = 3 GROUP BY ALL
+    JOIN orders ON o_custkey = c_custkey JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'R') ON l_orderkey = o_orderkey
+    GROUP BY ALL
 """)
 def two_hop_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer to part over orders, filtered on the far side before the join."""
-    hop = table(spark, sf_dir, "lineitem").filter("l_partkey % 10 = 3").select("l_orderkey", "l_partkey").distinct()
+    hop = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey", "l_partkey").distinct()
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = hop.join(orders, hop.l_orderkey == orders.o_orderkey).join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -101,14 +102,14 @@ def walk_down(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CLOSURE_SQL = f"""
     WITH RECURSIVE l AS ({LINKS_SQL}),
-    w AS (SELECT 'ORD' || o_orderkey AS key FROM orders WHERE o_orderkey % 700 = 11
-          UNION SELECT l.t FROM w JOIN l ON l.f = w.key WHERE NOT (l.t LIKE 'PRT%' AND l.t LIKE '%7'))
+    w AS (SELECT 'ORD' || o_orderkey AS key FROM orders WHERE o_totalprice > 450000
+          UNION SELECT l.t FROM w JOIN l ON l.f = w.key WHERE l.t NOT IN (SELECT 'PRT' || p_partkey FROM part WHERE p_size < 6))
 """
 
 
 def _closed(spark: SparkSession, sf_dir: str, edge: DataFrame) -> DataFrame:
-    roots = table(spark, sf_dir, "orders").filter("o_orderkey % 700 = 11").select(node("ORD", "o_orderkey").alias("key"))
-    barred = table(spark, sf_dir, "part").select(node("PRT", "p_partkey").alias("key")).filter(F.col("key").endswith("7"))
+    roots = table(spark, sf_dir, "orders").filter("o_totalprice > 450000").select(node("ORD", "o_orderkey").alias("key"))
+    barred = table(spark, sf_dir, "part").filter("p_size < 6").select(node("PRT", "p_partkey").alias("key"))
     return graph.closure(edge, roots, ["customer", "nation", "region", "part", "supplier"], barred=barred)
 
 
@@ -141,13 +142,13 @@ def kept_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @add("""
-    WITH w AS (SELECT o_orderkey + 200 AS key FROM orders WHERE o_orderkey % 13 = 0 UNION ALL SELECT -o_orderkey FROM orders WHERE o_orderkey % 1000 = 1)
+    WITH w AS (SELECT o_orderkey + 200 AS key FROM orders UNION ALL SELECT -o_orderkey FROM orders WHERE o_orderstatus = 'P')
     SELECT key, CASE WHEN key IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') THEN 'held' WHEN key IN (SELECT o_orderkey FROM orders) THEN 'not mirrored' ELSE 'not found' END AS state FROM w
 """)
 def absent_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wanted keys as held, not mirrored or not found."""
     orders = table(spark, sf_dir, "orders")
-    wanted = orders.filter("o_orderkey % 13 = 0").select((F.col("o_orderkey") + 200).alias("key")).union(orders.filter("o_orderkey % 1000 = 1").select((-F.col("o_orderkey")).alias("key")))
+    wanted = orders.select((F.col("o_orderkey") + 200).alias("key")).union(orders.filter("o_orderstatus = 'P'").select((-F.col("o_orderkey")).alias("key")))
     known = orders.select(F.col("o_orderkey").alias("key"))
     return refresh.absent_class(wanted, orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("key")), known, "key")
 

@@ -26,6 +26,12 @@ def log_tombstone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.newest(rows, ["user_id"], ["event_id"], removed=F.col("event_type") == "error").drop("event_type")
 
 
+def _halved(events: DataFrame) -> DataFrame:
+    """events with `late`, true for the second half of the write order; the last id is one row beside the scan, so the plan stays lazy."""
+    last = events.agg((F.max("event_id") / 2).alias("half"))
+    return events.crossJoin(F.broadcast(last)).withColumn("late", F.col("event_id") >= F.col("half"))
+
+
 @add("""
     WITH h AS (SELECT user_id, event_type AS kind, value, event_id, event_id >= (SELECT max(event_id) / 2 FROM events) AS late FROM events),
     b AS (SELECT user_id, kind, arg_max(value, event_id) AS value FROM h WHERE NOT late GROUP BY ALL),
@@ -36,9 +42,8 @@ def log_tombstone(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A base overlaid by a delta with deletes: reading the layers gives what packing them gives."""
     events = table(spark, sf_dir, "events")
-    half = events.agg(F.max("event_id").alias("m")).first()["m"] / 2
-    rows = events.select("user_id", F.col("event_type").alias("kind"), "value", "event_id")
-    base, delta = (log.newest(rows.filter(c), ["user_id", "kind"], ["event_id"]) for c in (F.col("event_id") < half, F.col("event_id") >= half))
+    rows = _halved(events).select("user_id", F.col("event_type").alias("kind"), "value", "event_id", "late")
+    base, delta = (log.newest(rows.filter(c), ["user_id", "kind"], ["event_id"]).drop("late") for c in ("not late", "late"))
     delta = delta.withColumn("gone", F.col("value") < 5)
     return log.merged(base.withColumn("gone", F.lit(False)), delta, key=["user_id", "kind"], removed="gone").select("user_id", "kind", "value")
 
@@ -54,9 +59,9 @@ def log_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @add("""
-    WITH h AS (SELECT *, event_id >= (SELECT max(event_id) / 2 FROM events) AS late FROM events WHERE event_id % 3 > 0),
-    o AS (SELECT user_id, arg_max(event_type, event_id) AS v FROM h WHERE NOT late AND user_id % 7 > 0 GROUP BY 1),
-    n AS (SELECT user_id, arg_max(event_type, event_id) AS v FROM h WHERE late AND user_id % 5 > 0 GROUP BY 1)
+    WITH h AS (SELECT *, event_id >= (SELECT max(event_id) / 2 FROM events) AS late FROM events WHERE event_type <> 'view'),
+    o AS (SELECT user_id, arg_max(event_type, event_id) AS v FROM h WHERE NOT late AND value > 20 GROUP BY 1),
+    n AS (SELECT user_id, arg_max(event_type, event_id) AS v FROM h WHERE late AND value > 10 GROUP BY 1)
     SELECT user_id % 10 AS bucket, (count(*) FILTER (WHERE o.user_id IS NULL))::BIGINT AS added,
            (count(*) FILTER (WHERE o.user_id IS NOT NULL AND n.user_id IS NOT NULL AND o.v IS DISTINCT FROM n.v))::BIGINT AS replaced,
            (count(*) FILTER (WHERE n.user_id IS NULL))::BIGINT AS removed
@@ -65,10 +70,9 @@ def log_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pack_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys added, replaced and removed by a compaction, by bucket."""
     events = table(spark, sf_dir, "events")
-    half = events.agg(F.max("event_id").alias("m")).first()["m"] / 2
-    rows = events.filter("event_id % 3 > 0").select("user_id", "event_id", "event_type")
-    old = log.newest(rows.filter((F.col("event_id") < half) & (F.col("user_id") % 7 > 0)), ["user_id"], ["event_id"])
-    new = log.newest(rows.filter((F.col("event_id") >= half) & (F.col("user_id") % 5 > 0)), ["user_id"], ["event_id"])
+    rows = _halved(events).filter("event_type <> 'view'").select("user_id", "event_id", "event_type", "value", "late")
+    old = log.newest(rows.filter(~F.col("late") & (F.col("value") > 20)), ["user_id"], ["event_id"])
+    new = log.newest(rows.filter(F.col("late") & (F.col("value") > 10)), ["user_id"], ["event_id"])
     return log.change_tally(old, new, "user_id", "event_type", F.col("user_id") % 10)
 
 
@@ -155,8 +159,8 @@ def top_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Updated, unheld and failed keys, each under its first reason; updates look back three days."""
     events = table(spark, sf_dir, "events")
-    last = F.lit(events.agg(F.max("ts").alias("m")).first()["m"])
-    updated = refresh.updated_since(events.filter("event_type = 'signup'"), "ts", last)
+    last = events.agg(F.max("ts").alias("last"))
+    updated = refresh.updated_since(events.filter("event_type = 'signup'").crossJoin(F.broadcast(last)), "ts", F.col("last"))
     unheld = events.join(events.filter("event_type = 'purchase' and value > 40").select("user_id"), "user_id", "left_anti")
     failed = events.groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("n")).filter("n > 12")
     return refresh.change_list([("updated", updated), ("unheld", unheld), ("failed", failed)], "user_id")
@@ -164,29 +168,29 @@ def change_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @add("""
     WITH p AS (SELECT user_id, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY 1),
-    n AS (SELECT user_id, min(value) AS value FROM events WHERE event_type = 'click' AND user_id % 3 = 0 GROUP BY 1),
-    l AS (SELECT DISTINCT user_id FROM events WHERE user_id % 11 > 0)
+    n AS (SELECT user_id, min(value) AS value FROM events WHERE event_type = 'click' AND value > 25 GROUP BY 1),
+    l AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase')
     SELECT user_id, CASE WHEN n.user_id IS NOT NULL THEN n.value ELSE p.value END AS value FROM p FULL JOIN n USING (user_id) WHERE user_id IN (SELECT user_id FROM l)
 """)
 def snapshot_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fresh rows in place of previous ones, keys that are no longer listed dropped."""
     events = table(spark, sf_dir, "events")
     previous = events.filter("event_type = 'view'").groupBy("user_id").agg(F.max("value").alias("value"))
-    fresh = events.filter("event_type = 'click' and user_id % 3 = 0").groupBy("user_id").agg(F.min("value").alias("value"))
-    return refresh.patched(previous, fresh, events.filter("user_id % 11 > 0"), "user_id", least=10**9)
+    fresh = events.filter("event_type = 'click' and value > 25").groupBy("user_id").agg(F.min("value").alias("value"))
+    return refresh.patched(previous, fresh, events.filter("event_type = 'purchase'"), "user_id", least=10**9)
 
 
 @add("""
-    WITH a AS (SELECT p_partkey AS key, p_size, p_brand FROM part WHERE p_partkey % 17 > 0),
-    b AS (SELECT p_partkey AS key, CASE WHEN p_partkey % 5 = 0 THEN p_size + 1 ELSE p_size END AS p_size, p_brand FROM part WHERE p_partkey % 13 > 0)
+    WITH a AS (SELECT p_partkey AS key, p_size, p_brand FROM part WHERE p_size > 2),
+    b AS (SELECT p_partkey AS key, CASE WHEN p_type LIKE 'ECO%' THEN p_size + 1 ELSE p_size END AS p_size, p_brand FROM part WHERE p_size < 48)
     SELECT key, CASE WHEN a.key IS NULL THEN 'delete' ELSE 'send' END AS action FROM a FULL JOIN b USING (key)
     WHERE a.key IS NULL OR b.key IS NULL OR a.p_size <> b.p_size OR a.p_brand <> b.p_brand
 """)
 def copy_diff_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What to send and to delete, refused if the deletes pass their limit."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), "p_size", "p_brand")
-    local = part.filter("key % 17 > 0")
-    remote = part.filter("key % 13 > 0").withColumn("p_size", F.when(F.col("key") % 5 == 0, F.col("p_size") + 1).otherwise(F.col("p_size")))
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), "p_size", "p_brand", "p_type")
+    local = part.filter("p_size > 2")
+    remote = part.filter("p_size < 48").withColumn("p_size", F.when(F.col("p_type").startswith("ECO"), F.col("p_size") + 1).otherwise(F.col("p_size")))
     return refresh.guarded(refresh.copy_diff(local, remote, "key", ["p_size", "p_brand"]), remote.count(), accepted=10**6)
 
 
@@ -203,23 +207,23 @@ def soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @add("""
-    WITH b AS (SELECT 'B' || o_custkey AS build, max(o_orderdate) AS made FROM orders WHERE o_custkey % 9 = 0 GROUP BY 1),
-    r AS (SELECT 'B' || o_custkey AS build, max(o_orderdate) AS last_read FROM orders WHERE o_custkey % 9 = 0 AND o_orderstatus = 'F' GROUP BY 1),
+    WITH b AS (SELECT 'B' || o_custkey AS build, max(o_orderdate) AS made FROM orders GROUP BY 1),
+    r AS (SELECT 'B' || o_custkey AS build, max(o_orderdate) AS last_read FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
     k AS (SELECT build FROM b ORDER BY made DESC, build DESC LIMIT 3)
     SELECT build, made, last_read FROM b LEFT JOIN r USING (build)
     WHERE build NOT IN (SELECT build FROM k) AND made < TIMESTAMP '2001-06-02' - INTERVAL 24 HOUR AND (last_read IS NULL OR last_read < TIMESTAMP '2001-06-02' - INTERVAL 24 HOUR)
 """)
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions that may go: not among the newest, past the grace time, unread within it."""
-    orders = table(spark, sf_dir, "orders").filter("o_custkey % 9 = 0").withColumn("build", F.concat(F.lit("B"), F.col("o_custkey").cast("string")))
+    orders = table(spark, sf_dir, "orders").withColumn("build", F.concat(F.lit("B"), F.col("o_custkey").cast("string")))
     builds = orders.groupBy("build").agg(F.max("o_orderdate").alias("made"))
     readers = orders.filter("o_orderstatus = 'F'").select("build", F.col("o_orderdate").alias("at"))
     return refresh.to_retire(builds, readers, F.lit("2001-06-02 00:00:00").cast("timestamp_ntz" if dict(builds.dtypes)["made"] == "timestamp_ntz" else "timestamp"), keep=3)
 
 
 @add("""
-    WITH a AS (SELECT p_partkey AS key, p_size, p_brand, p_type FROM part WHERE p_partkey % 101 > 0),
-    b AS (SELECT p_partkey AS key, CASE WHEN p_partkey % 7 = 0 THEN p_size + 1 ELSE p_size END AS p_size, CASE WHEN p_partkey % 50 = 1 THEN NULL ELSE p_brand END AS p_brand, p_type FROM part WHERE p_partkey % 103 > 0),
+    WITH a AS (SELECT p_partkey AS key, p_size, p_brand, p_type FROM part WHERE p_size > 1),
+    b AS (SELECT p_partkey AS key, CASE WHEN p_type LIKE 'ECO%' THEN p_size + 1 ELSE p_size END AS p_size, CASE WHEN p_size = 30 THEN NULL ELSE p_brand END AS p_brand, p_type FROM part WHERE p_size < 50),
     j AS (SELECT key, a.key IS NULL OR b.key IS NULL AS w, a.p_size IS DISTINCT FROM b.p_size AS s, a.p_brand IS DISTINCT FROM b.p_brand AS r FROM a FULL JOIN b USING (key)),
     c AS (SELECT key, '(row)' AS "column" FROM j WHERE w UNION ALL SELECT key, 'p_size' FROM j WHERE NOT w AND s UNION ALL SELECT key, 'p_brand' FROM j WHERE NOT w AND r)
     SELECT "column", count(*)::BIGINT AS cells, min(key) AS first FROM c GROUP BY 1
@@ -227,8 +231,8 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two versions cell by cell, with the first difference of each column."""
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), "p_size", "p_brand", "p_type")
-    changed = part.filter("key % 103 > 0").withColumn("p_size", F.when(F.col("key") % 7 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))).withColumn("p_brand", F.when(F.col("key") % 50 != 1, F.col("p_brand")))
-    return verify.differing_cells(part.filter("key % 101 > 0"), changed, ["key"]).withColumn("first", F.col("first.key"))
+    changed = part.filter("p_size < 50").withColumn("p_brand", F.when(F.col("p_size") != 30, F.col("p_brand"))).withColumn("p_size", F.when(F.col("p_type").startswith("ECO"), F.col("p_size") + 1).otherwise(F.col("p_size")))
+    return verify.differing_cells(part.filter("p_size > 1"), changed, ["key"]).withColumn("first", F.col("first.key"))
 
 
 @add("""
@@ -258,13 +262,13 @@ def quota_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @add("""
-    WITH r AS (SELECT l_orderkey AS parent, l_linenumber AS run, l_returnflag <> 'R' AS pub FROM lineitem WHERE l_orderkey % 9 = 2),
+    WITH r AS (SELECT l_orderkey AS parent, l_linenumber AS run, l_returnflag <> 'R' AS pub FROM lineitem),
     c AS (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderstatus <> 'O'),
     g AS (SELECT parent, bool_or(NOT pub) AS non_public, parent NOT IN (SELECT o_orderkey FROM c) AS unreached, coalesce(string_agg(DISTINCT run::VARCHAR, ',' ORDER BY run::VARCHAR) FILTER (WHERE NOT pub), '') AS runs FROM r GROUP BY parent)
     SELECT * FROM g WHERE non_public OR unreached
 """)
 def removal_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parents that hold a non-public run or that nothing reaches."""
-    runs = table(spark, sf_dir, "lineitem").filter("l_orderkey % 9 = 2").select(F.col("l_orderkey").alias("parent"), F.col("l_linenumber").cast("string").alias("run"), (F.col("l_returnflag") != "R").alias("pub"))
+    runs = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("parent"), F.col("l_linenumber").cast("string").alias("run"), (F.col("l_returnflag") != "R").alias("pub"))
     reached = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias("parent"))
     return refresh.removal_candidates(runs, "parent", F.col("pub"), reached).withColumn("runs", F.array_join("runs", ","))

@@ -76,15 +76,15 @@ def known_union_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @add("""
-    WITH f AS (SELECT l_partkey AS part, min({'d': l_shipdate, 'o': l_orderkey, 'q': l_quantity}) AS s FROM lineitem WHERE l_partkey % 3 > 0 GROUP BY 1)
-    SELECT p_partkey AS part, p_name AS name, s.o AS first_order, s.q AS quantity FROM part LEFT JOIN f ON part = p_partkey WHERE p_partkey % 4 > 0
-    UNION ALL SELECT part, NULL, s.o, s.q FROM f WHERE part NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 4 > 0)
+    WITH f AS (SELECT l_partkey AS part, min({'d': l_shipdate, 'o': l_orderkey, 'q': l_quantity}) AS s FROM lineitem WHERE l_quantity > 30 GROUP BY 1)
+    SELECT p_partkey AS part, p_name AS name, s.o AS first_order, s.q AS quantity FROM part LEFT JOIN f ON part = p_partkey WHERE p_size > 10
+    UNION ALL SELECT part, NULL, s.o, s.q FROM f WHERE part NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)
 """)
 def first_facts_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names with their earliest facts, and the facts without a name: two disjoint branches."""
-    facts = copies.least(table(spark, sf_dir, "lineitem").filter("l_partkey % 3 > 0"), ["l_partkey"], ["l_shipdate", "l_orderkey", "l_quantity"], ["l_orderkey", "l_quantity"])
+    facts = copies.least(table(spark, sf_dir, "lineitem").filter("l_quantity > 30"), ["l_partkey"], ["l_shipdate", "l_orderkey", "l_quantity"], ["l_orderkey", "l_quantity"])
     facts = facts.select(F.col("l_partkey").alias("part"), F.col("l_orderkey").alias("first_order"), F.col("l_quantity").alias("quantity"))
-    names = table(spark, sf_dir, "part").filter("p_partkey % 4 > 0").select(F.col("p_partkey").alias("part"), F.col("p_name").alias("name"))
+    names = table(spark, sf_dir, "part").filter("p_size > 10").select(F.col("p_partkey").alias("part"), F.col("p_name").alias("name"))
     named = names.join(facts, "part", "left").select("part", "name", "first_order", "quantity")
     rest = facts.join(names.select("part"), "part", "left_anti").select("part", F.lit(None).cast("string").alias("name"), "first_order", "quantity")
     return named.unionByName(rest)
@@ -186,17 +186,17 @@ def fields_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @add("""
     WITH t AS (SELECT c_custkey AS key, ['A' || (c_custkey // 2), 'B' || c_custkey] AS alias FROM customer),
-    w AS (SELECT 'B' || c_custkey AS wanted FROM customer WHERE c_custkey % 3 = 0 UNION SELECT 'A' || c_custkey FROM customer WHERE c_custkey % 5 = 0 UNION SELECT c_custkey::VARCHAR FROM customer WHERE c_custkey % 7 = 0)
+    w AS (SELECT 'B' || c_custkey AS wanted FROM customer WHERE c_mktsegment = 'BUILDING' UNION SELECT 'A' || c_custkey FROM customer WHERE c_acctbal > 5000 UNION SELECT c_custkey::VARCHAR FROM customer WHERE c_acctbal < 0)
     SELECT wanted, coalesce((SELECT max(key) FROM t WHERE key::VARCHAR = wanted), min(u.key))::VARCHAR AS key FROM w LEFT JOIN (SELECT key, unnest(alias) AS a FROM t) u ON u.a = wanted
     GROUP BY wanted HAVING count(u.key) > 0 OR wanted IN (SELECT key::VARCHAR FROM t)
 """)
 def alias_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys by themselves or by an alias, as two equi-joins."""
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("n"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("n"), "c_mktsegment", "c_acctbal")
     rows = c.select(F.lpad(F.col("n").cast("string"), 12, "0").alias("key"), F.array(F.concat(F.lit("A"), F.floor(F.col("n") / 2).cast("string")), F.concat(F.lit("B"), F.col("n").cast("string"))).alias("alias"))
-    wanted = c.filter("n % 3 = 0").select(F.concat(F.lit("B"), F.col("n").cast("string")).alias("wanted"))
-    wanted = wanted.union(c.filter("n % 5 = 0").select(F.concat(F.lit("A"), F.col("n").cast("string"))))
-    wanted = wanted.union(c.filter("n % 7 = 0").select(F.lpad(F.col("n").cast("string"), 12, "0")))
+    wanted = c.filter("c_mktsegment = 'BUILDING'").select(F.concat(F.lit("B"), F.col("n").cast("string")).alias("wanted"))
+    wanted = wanted.union(c.filter("c_acctbal > 5000").select(F.concat(F.lit("A"), F.col("n").cast("string"))))
+    wanted = wanted.union(c.filter("c_acctbal < 0").select(F.lpad(F.col("n").cast("string"), 12, "0")))
     plain = lambda x: F.when(x.startswith("0"), x.cast("long").cast("string")).otherwise(x)
     return papers.alias_lookup(wanted, rows, "key", "alias").select(plain(F.col("wanted")).alias("wanted"), F.col("key").cast("long").cast("string").alias("key"))
 
