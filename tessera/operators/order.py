@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .graph import cut
+from tessera.sources.scratch import cut
 
 
 def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:

@@ -57,13 +57,13 @@ NODES = (
 
 
 def links(spark: SparkSession, sf_dir: str, relations: tuple[str, ...] | None = None) -> DataFrame:
-    """Distinct links (from, to, relation)."""
+    """Links (from, to, relation, and the kinds of both ends as constants), as often as the tables state them; a filter on relation or kind leaves the other tables unread."""
     parts = [
-        table(spark, sf_dir, t).select(node(fp, fc).alias("from"), node(tp, tc).alias("to"), F.lit(r).alias("relation"))
+        table(spark, sf_dir, t).select(node(fp, fc).alias("from"), node(tp, tc).alias("to"), F.lit(r).alias("relation"), F.lit(fp).alias("from_kind"), F.lit(tp).alias("to_kind"))
         for t, fp, fc, tp, tc, r in LINKS
         if relations is None or r in relations
     ]
-    return reduce(DataFrame.union, parts).distinct()
+    return reduce(DataFrame.union, parts)
 
 
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:

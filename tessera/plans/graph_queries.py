@@ -22,13 +22,13 @@ def nodes_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @add(f"SELECT f AS \"from\", t AS \"to\", r AS relation FROM ({LINKS_SQL})")
 def edges_by_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct links in the order of their near end."""
-    return links(spark, sf_dir).orderBy("from", "to", "relation")
+    return links(spark, sf_dir).select("from", "to", "relation").distinct().orderBy("from", "to", "relation")
 
 
 @add(f"SELECT t AS \"to\", count(*)::BIGINT AS n_from, count(DISTINCT r)::BIGINT AS n_relations FROM ({LINKS_SQL}) GROUP BY t")
 def edges_by_to(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links seen from their far end."""
-    return links(spark, sf_dir).groupBy("to").agg(F.count("*").cast("long").alias("n_from"), F.countDistinct("relation").alias("n_relations"))
+    return links(spark, sf_dir).select("from", "to", "relation").distinct().groupBy("to").agg(F.count("*").cast("long").alias("n_from"), F.countDistinct("relation").alias("n_relations"))
 
 
 @add("""
