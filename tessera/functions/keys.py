@@ -55,7 +55,15 @@ def doi_of(text: Column) -> Column:
 def dois_in(text: Column) -> Column:
     """Distinct digital object names in free text in order of first mention, without trailing punctuation."""
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(10\.[0-9]{4,9}/[^ \t\r\n\"<>]+)"), F.lit(1))
-    clean = F.transform(found, lambda d: F.lower(F.regexp_replace(F.regexp_replace(d, r"[.,;:'!?\]}]+$", ""), r"^([^(]*)\)+$", "$1")))
+
+    def closed(d: Column) -> Column:
+        """Without closing brackets at the end that nothing opens."""
+        count = lambda c: F.length(d) - F.length(F.replace(d, F.lit(c), F.lit("")))
+        over = F.greatest(count(")") - count("("), F.lit(0))
+        return F.substring(d, F.lit(1), F.length(d) - F.least(over, F.length(F.regexp_extract(d, r"(\)*)$", 1))))
+
+    plain = lambda d: F.regexp_replace(d, r"[.,;:'!?\]}]+$", "")
+    clean = F.transform(found, lambda d: F.lower(plain(closed(plain(d)))))
     return F.array_distinct(clean)
 
 

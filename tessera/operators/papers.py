@@ -79,3 +79,10 @@ def wilson(hits: Column, n: Column, z: float = 1.959963984540054) -> tuple[Colum
     p, m = hits / n, n.cast("double")
     mid, half = p + z * z / (2 * m), z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))
     return (mid - half) / (1 + z * z / m), (mid + half) / (1 + z * z / m)
+
+
+def papers_for(links: DataFrame, store: DataFrame, files: DataFrame) -> DataFrame:
+    """(accession, paper, status, n_files) of links (accession, paper): the store's status, or that it lacks the paper; files with a path are held."""
+    held = files.groupBy("paper").agg(F.count("path").cast("long").alias("n_files"))
+    both = links.distinct().join(store.select("paper", "status"), "paper", "left").join(held, "paper", "left")
+    return both.select("accession", "paper", F.coalesce("status", F.lit("not in the store")).alias("status"), F.coalesce("n_files", F.lit(0).cast("long")).alias("n_files"))

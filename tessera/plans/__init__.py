@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import graph_queries, log_queries, pass_queries, table_queries, text_queries
+from . import build_queries, graph_queries, log_queries, pass_queries, table_queries, text_queries
 from .base import Query
 
-_PARTS = (graph_queries.CATALOGUE, table_queries.CATALOGUE, log_queries.CATALOGUE, pass_queries.CATALOGUE, text_queries.CATALOGUE)
+_PARTS = (graph_queries.CATALOGUE, table_queries.CATALOGUE, log_queries.CATALOGUE, pass_queries.CATALOGUE, text_queries.CATALOGUE, build_queries.CATALOGUE)
 QUERIES: dict[str, Query] = {name: query for part in _PARTS for name, query in part.queries.items()}
 ORACLE_SQL: dict[str, str] = {name: sql for part in _PARTS for name, sql in part.sql.items()}
