@@ -19,11 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where that is unset (a single-machine test session) a temporary folder is made
-    and set as the checkpoint folder.
+    Only where that is unset in a session on one machine a temporary folder is made and set as
+    the checkpoint folder; on a cluster that would lose data, and ValueError is raised.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(base)
     return base
