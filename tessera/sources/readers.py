@@ -53,6 +53,22 @@ def series_lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.explode(each).alias("accession")).filter("accession is not null")
 
 
+# Where marked-up listings state the accession of a record, one opening tag a line.
+PROJECT_ID = r'<ArchiveID\b[^>]*?\baccession="(PRJ[A-Z]+\d+)"'
+SAMPLE_ID = r'<BioSample\b[^>]*?\baccession="(SAM[A-Z]+\d+)"'
+
+
+def first_cells(spark: SparkSession, path: str) -> DataFrame:
+    """(accession): the first cell of each line of a tab-separated file with a header, empty ones left out; no other cell is read."""
+    df = spark.read.csv(path, sep="\t", header=True, quote="", escape="")
+    return df.select(F.trim(F.col(f"`{df.columns[0]}`")).alias("accession")).filter("accession <> ''")
+
+
+def line_matches(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """(accession): all matches of a pattern with one group in the lines of a file; repeats are possible."""
+    return spark.read.text(path).select(F.explode(F.regexp_extract_all("value", F.lit(pattern), F.lit(1))).alias("accession"))
+
+
 def key_list(spark: SparkSession, path: str) -> DataFrame:
     """(key, place): one key a line, upper case, blank lines left out, the first place of repeated ones."""
     rows = spark.read.text(path).select(F.upper(F.trim("value")).alias("key"), F.monotonically_increasing_id().alias("place")).filter("key <> ''")
