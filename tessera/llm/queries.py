@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontam, html_extract, langid, licenses, packing, pii, quality, rollups, setsketch, spotsigs
+from . import conversations, decontam, embedding_dedup, html_extract, langid, licenses, packing, pii, quality, rollups, setsketch, spotsigs, whitening
 from .common import fold, table, work_path, written
 
 #: A document scored lower than this is taken for label 0.
@@ -110,6 +110,21 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_content(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and least repair of every damaged conversation."""
+    return conversations.faults_and_repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every embedding."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first eight whitened components."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -123,6 +138,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_decontamination": op9_decontamination,
     "op10_main_text": op10_main_text,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_near_duplicates": op12_embedding_near_duplicates,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 _ANCHORS = "[" + ", ".join(f"'{a}'" for a in spotsigs.ANCHORS) + "]"
@@ -202,4 +220,16 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(it.ids, '')) AS items_sha256, coalesce(hit.n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
     """,
+    # every pair of one label by exact cosine: SQL finds what a forest of full recall would
+    "op12_embedding_near_duplicates": r"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+        u AS (
+            SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+        r AS (SELECT vec_id AS f, vec_id AS t FROM embeddings UNION SELECT r.f, l.b FROM r JOIN l ON l.a = r.t),
+        c AS (SELECT f, min(t) AS component_id FROM r GROUP BY f)
+        SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, v.vec_id = c.component_id AS kept FROM v JOIN c ON c.f = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+    """,
 }

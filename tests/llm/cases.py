@@ -2,6 +2,9 @@
 
 import random
 
+#: Where the smallest given tables are.
+DIR = "/root/testdata/sf0.001"
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, score string, id string, n string, spans string"
 
 
