@@ -67,6 +67,50 @@ def dois_in(text: Column) -> Column:
     return F.array_distinct(clean)
 
 
+# What publishers' addresses add to a digital object name: pages and folders behind it, the path before it, and preprint servers.
+PAGE_TAILS = ("full", "abstract", "pdf", "epdf")
+FILE_FOLDERS = ("mediaobjects", "attachment", "suppl_file")
+PREPRINT_SERVERS = ("10.1101/", "10.64898/")
+PREPRINT_TAILS = (".full", ".full-text", ".full.pdf", ".abstract", ".pdf")
+
+
+def linked_dois(text: Column) -> Column:
+    """Distinct digital object names that addresses and citations name, in order, without what an address adds.
+
+    Percent escapes are read first. A name ends before white space, quotes, angle brackets and ?, #, &, and
+    loses closing punctuation and brackets that nothing opens, page and file tails, an article's number where
+    the address has /article/doi/ before it, and a preprint's version and view.
+    """
+    t = F.coalesce(text, F.lit(""))
+    plain = F.coalesce(F.try_url_decode(F.replace(t, F.lit("+"), F.lit("%2B"))), t)
+    found = F.regexp_extract_all(plain, F.lit(r"((?i:article(?:-[a-z]+)?/doi/)?10\.[0-9]{4,9}/[^\s\"<>?#&]+)"), F.lit(1))
+
+    def closed(d: Column) -> Column:
+        """Without brackets at the end that nothing opens."""
+        over = F.length(F.replace(d, F.lit("("), F.lit(""))) - F.length(F.replace(d, F.lit(")"), F.lit("")))
+        end = F.length(F.regexp_extract(d, r"(\)*)$", 1))
+        return F.substring(d, F.lit(1), F.length(d) - F.least(F.greatest(over, F.lit(0)), end))
+
+    def unmarked(d: Column) -> Column:
+        return F.regexp_replace(d, r"[.,;:\]'/]+$", "")
+
+    pages, folders = "|".join(PAGE_TAILS), "|".join(FILE_FOLDERS)
+    tails = "|".join(t.replace(".", r"\.") for t in sorted(PREPRINT_TAILS, key=len, reverse=True))
+
+    def printed(d: Column) -> Column:
+        d = F.regexp_replace(d, rf"(/({pages})(;.*)?|\.pdf|/({folders})/.*)$", "")
+        return F.regexp_replace(d, r"^(10\.3390/[^/]*)/s[0-9]+$", "$1")
+
+    preprint = "|".join(x.replace(".", r"\.") for x in PREPRINT_SERVERS)
+    view = lambda d: F.regexp_replace(d, rf"^((?:{preprint}).*?)(v[0-9]+)?({tails})?$", "$1")
+    # each step is a pass over the names, so that no expression holds another many times
+    names = F.transform(found, lambda w: F.lower(F.regexp_replace(w, r"^(?i:article)[^/]*/doi/", "@")))
+    for step in (unmarked, closed, unmarked, closed, unmarked):
+        names = F.transform(names, step)
+    names = F.transform(names, lambda d: F.when(d.startswith("@"), F.regexp_replace(F.substring(d, 2, 1 << 20), r"/[0-9]+(/[^/]*)?$", "")).otherwise(d))
+    return F.array_distinct(F.transform(F.transform(names, printed), view))
+
+
 def strict_date(text: Column) -> Column:
     """Date of yyyy-MM-dd text; empty is null; anything else raises, also short forms that a cast would take."""
     t = F.nullif(text, F.lit(""))
@@ -78,6 +122,12 @@ def month_name_date(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("MMM dd yyyy")).cast("date")
 
 
+def named_date(text: Column) -> Column:
+    """Date of the first "Jan 5 2010" in a text; null without one."""
+    found = F.regexp_extract(text, r"([A-Z][a-z]{2} [0-9]{1,2} [0-9]{4})", 1)
+    return F.try_to_timestamp(found, F.lit("MMM d yyyy")).cast("date")
+
+
 def partial_date(year: Column, month: Column, day: Column) -> Column:
     """Date of a year and perhaps month (number or English name) and day; missing parts are the first."""
     # English month abbreviations.

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import build_queries, graph_queries, log_queries, pass_queries, reach_queries, table_queries, text_queries
-from .base import Query
+from . import build_queries, graph_queries, log_queries, pass_queries, reach_queries, store_queries, table_queries, text_queries
+from .base import Query, together
 
-_PARTS = (graph_queries.CATALOGUE, table_queries.CATALOGUE, log_queries.CATALOGUE, pass_queries.CATALOGUE, text_queries.CATALOGUE, build_queries.CATALOGUE, reach_queries.CATALOGUE)
-QUERIES: dict[str, Query] = {name: query for part in _PARTS for name, query in part.queries.items()}
-ORACLE_SQL: dict[str, str] = {name: sql for part in _PARTS for name, sql in part.sql.items()}
+QUERIES: dict[str, Query]
+ORACLE_SQL: dict[str, str]
+QUERIES, ORACLE_SQL = together(*(m.CATALOGUE for m in (graph_queries, table_queries, log_queries, pass_queries, text_queries, build_queries, store_queries, reach_queries)))

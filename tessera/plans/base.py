@@ -19,6 +19,8 @@ class Catalogue:
 
     def add(self, sql: str | None = None) -> Callable[[Query], Query]:
         def wrap(query: Query) -> Query:
+            if query.__name__ in self.queries:
+                raise ValueError(f"two queries are named {query.__name__}")
             self.queries[query.__name__] = query
             if sql is not None:
                 self.sql[query.__name__] = sql
@@ -27,6 +29,16 @@ class Catalogue:
         return wrap
 
 
+def together(*parts: Catalogue) -> tuple[dict[str, Query], dict[str, str]]:
+    """The queries and the SQL of all parts; a name that two of them use raises."""
+    queries: dict[str, Query] = {}
+    for part in parts:
+        if twice := queries.keys() & part.queries.keys():
+            raise ValueError(f"two queries are named {sorted(twice)}")
+        queries |= part.queries
+    return queries, {name: sql for part in parts for name, sql in part.sql.items()}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

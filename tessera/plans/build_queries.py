@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera import schema
 from tessera.functions import keys, text as tx
-from tessera.operators import build, log, packages, papers, parse, refresh
+from tessera.operators import log, packages, papers, parse, refresh
 from tessera.sources import readers
 from tessera.sources.raw_log import RawLog
 from tessera.sources.scratch import work_path
@@ -220,15 +220,6 @@ def tab_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("Accession").alias("accession"), F.col("Status").alias("status"), keys.strict_date(F.substring("Received", 1, 10)).alias("received"), F.nullif(F.col("Alias"), F.lit("")).alias("sample"))
 
 
-@add("SELECT accession, count(*)::BIGINT AS n FROM (SELECT 'GSE' || o_orderkey AS accession FROM orders UNION ALL SELECT 'GSM' || o_custkey FROM orders UNION ALL SELECT 'GPL' || o_shippriority FROM orders UNION ALL SELECT 'GPL9' FROM orders) GROUP BY 1".replace("o_shippriority", "(o_custkey % 5)"))
-def json_lines_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Series, samples and platforms of JSON lines."""
-    path = work_path(spark, "lines")
-    rows = table(spark, sf_dir, "orders").select(_text("GSE{o_orderkey}").alias("series"), F.array(_text("GSM{o_custkey}")).alias("samples"), F.concat((F.col("o_custkey") % 5).cast("string"), F.lit(";9")).alias("gpl"))
-    rows.write.option("compression", "gzip").json(path)
-    return readers.series_lines(spark, path).groupBy("accession").agg(F.count("*").cast("long").alias("n"))
-
-
 @add("SELECT upper(c_mktsegment) AS key, count(*)::BIGINT AS n FROM customer GROUP BY 1")
 def key_list_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list of keys, one a line, blank ones left out, repeated ones once, joined back to its rows."""
@@ -288,65 +279,6 @@ def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema.HOLDINGS.schema).parquet(path)
 
 
-def _built(spark: SparkSession, sf_dir: str):
-    """A store built from the texts of all orders and customers; listed are also orders that have none."""
-    packs = _packages(spark, sf_dir)
-    orders = table(spark, sf_dir, "orders")
-    listed = orders.select(_text("SRX{o_orderkey}").alias("accession"), F.lit("tab").alias("source")).union(orders.filter("o_orderstatus = 'P'").select(_text("SRX9999{o_orderkey}"), F.lit("tab")))
-    root = work_path(spark, "store")
-    return root, build.build(spark, root, "v1", packs.select("accession", "raw_text"), _projects(spark, sf_dir).select("raw_text"), _samples(spark, sf_dir).select("raw_text"), listed, "2024-05-01")
-
-
-@add(f"""
-    WITH {_RUNS_SQL}, {_EDGES_SQL},
-    g AS (SELECT 'PRJNA9' || c_nationkey AS f, 'PRJNA' || c_custkey AS t, 'umbrella of' AS r FROM customer UNION SELECT 'PRJNA' || c_custkey, 'PMID:' || c_nationkey || '77', 'PubMed' FROM customer UNION SELECT 'PRJNA' || c_custkey, 'DOI:10.1000/x.' || c_custkey, 'DOI' FROM customer)
-    SELECT 'holdings SRA experiment' AS part, count(*)::BIGINT AS n FROM orders UNION ALL SELECT 'holdings SRA study', count(DISTINCT o_custkey)::BIGINT FROM orders UNION ALL SELECT 'holdings SRA sample', count(*)::BIGINT FROM orders
-    UNION ALL SELECT 'holdings SRA run', count(*)::BIGINT FROM r JOIN orders ON o_orderkey = l_orderkey UNION ALL SELECT 'holdings BioProject', count(*)::BIGINT FROM customer UNION ALL SELECT 'holdings BioSample', count(*)::BIGINT FROM orders
-    UNION ALL SELECT 'links ' || r, count(*)::BIGINT FROM (SELECT * FROM e UNION ALL SELECT * FROM g) GROUP BY r
-    UNION ALL SELECT 'known', (count(*) + count(*) FILTER (WHERE o_orderstatus = 'P'))::BIGINT FROM orders UNION ALL SELECT 'gaps unexplained', (count(*) FILTER (WHERE o_orderstatus = 'P'))::BIGINT FROM orders
-    UNION ALL SELECT 'notes no run', count(*)::BIGINT FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) HAVING count(*) > 0
-""")
-def build_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole build from raw texts to a published version, counted by table."""
-    _, store = _built(spark, sf_dir)
-    count = lambda t, part: store.table(t).groupBy(part.alias("part")).agg(F.count("*").cast("long").alias("n"))
-    parts = [count(schema.HOLDINGS, F.concat(F.lit("holdings "), "type")), count(schema.LINKS_BY_TO, F.concat(F.lit("links "), "relation")), count(schema.KNOWN, F.lit("known")), count(schema.GAPS, F.concat(F.lit("gaps "), "reason")), count(schema.NOTES, F.concat(F.lit("notes "), "kind"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
-
-
-@add(f"""
-    WITH {_RUNS_SQL}, k AS (SELECT * FROM orders WHERE o_totalprice > 450000), x AS (SELECT 'SRX' || o_orderkey AS key, o_custkey, o_orderkey FROM k)
-    SELECT 'record' AS part, key, 'SRA experiment' AS value FROM x UNION ALL SELECT 'state', key, 'held' FROM x UNION ALL SELECT 'state', 'SRX9999' || o_orderkey, 'not mirrored' FROM orders WHERE o_orderstatus = 'P'
-    UNION ALL SELECT 'state', 'NONE1', 'not found' UNION ALL SELECT 'link', key, 'SRP' || o_custkey FROM x UNION ALL SELECT 'link', key, 'SRS' || o_orderkey FROM x UNION ALL SELECT 'link', key, 'SRR' || l_orderkey || '0' || l_linenumber FROM x JOIN r ON l_orderkey = o_orderkey
-    UNION ALL SELECT 'title', key, 'order ' || o_orderkey FROM x UNION ALL SELECT 'study', key, 'SRP' || o_custkey FROM x
-""")
-def store_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records, links, fields, texts and states of wanted keys, read from a store."""
-    _, store = _built(spark, sf_dir)
-    orders = table(spark, sf_dir, "orders")
-    wanted = orders.filter("o_totalprice > 450000").select(F.concat(F.lit(" srx"), F.col("o_orderkey").cast("string")).alias("key"))
-    absent = orders.filter("o_orderstatus = 'P'").select(_text("SRX9999{o_orderkey}").alias("key")).union(spark.createDataFrame([("none1",)], "key string"))
-    found = store.open_many(wanted)
-    records = found.select(F.lit("record").alias("part"), F.col("accession").alias("key"), F.col("type").alias("value"))
-    states = store.state_of(wanted.union(absent)).select(F.lit("state"), "key", "state")
-    links = store.links(wanted, ["study", "SRA sample", "run"]).select(F.lit("link"), "from", "to")
-    titles = store.raw(wanted).select(F.lit("title"), "accession", F.regexp_extract("raw_text", "<TITLE>([^<]*)</TITLE>", 1))
-    pivot = store.field_table("SRA experiment", ["EXPERIMENT_PACKAGE/EXPERIMENT/STUDY_REF@accession"]).toDF("accession", "values").join(found.select("accession"), "accession", "left_semi")
-    studies = pivot.select(F.lit("study"), "accession", F.get("values", 0))
-    return records.union(states).union(links).union(titles).union(studies)
-
-
-@add("SELECT 'v1' AS version, 0::BIGINT AS faults, (3 * count(*) + (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem JOIN orders ON o_orderkey = l_orderkey)) + (SELECT count(*) FROM customer) + count(DISTINCT o_custkey))::BIGINT AS records FROM orders")
-def build_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every record of a version held against its stored hash and the holdings."""
-    root, store = _built(spark, sf_dir)
-    faults = build.provenance(spark, root, "v1").agg(F.count("*").cast("long").alias("faults"))
-    return store.table(schema.RECORDS).agg(F.lit("v1").alias("version"), F.count("*").cast("long").alias("records")).join(F.broadcast(faults)).select("version", "faults", "records")
-
-
 @add("""
     SELECT c_custkey, '10.1000/' || lower(c_mktsegment) || '.' || c_custkey AS doi, 'PMID:' || c_custkey AS paper_id, '10.1000/a.' || c_custkey || ',10.5555/b(2)' AS found,
            ('2020-01-' || lpad((c_custkey % 28 + 1)::VARCHAR, 2, '0'))::DATE AS day, ('2019-' || lpad((c_custkey % 12 + 1)::VARCHAR, 2, '0') || '-01')::DATE AS month, c_custkey % 28 + 1 >= 10 AS fresh FROM customer

@@ -73,7 +73,7 @@ def unanswered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH u AS (SELECT 'SUP' || s_suppkey AS accession, 'public' AS status FROM supplier WHERE s_acctbal > 0 UNION SELECT 'SUP' || l_suppkey, 'public' FROM lineitem WHERE l_quantity > 49 UNION SELECT 'CUS' || o_custkey, 'listed' FROM orders WHERE o_totalprice > 490000)
     SELECT accession, status, row_number() OVER (PARTITION BY left(accession, 3) ORDER BY length(accession), accession) - 1 AS place FROM u
 """)
-def experiment_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+def natural_order_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct keys of several sources with their place in natural order."""
     a = table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select(node("SUP", "s_suppkey").alias("accession"), F.lit("public").alias("status"))
     b = table(spark, sf_dir, "lineitem").filter("l_quantity > 49").select(node("SUP", "l_suppkey"), F.lit("public"))

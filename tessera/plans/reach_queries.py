@@ -132,7 +132,7 @@ def snapshot_accessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every accession that snapshots of four forms list."""
     root = work_path(spark, "listed")
     orders = table(spark, sf_dir, "orders")
-    orders.select(_text("GSE{o_orderkey}").alias("series"), F.array(_text("GSM{o_custkey}")).alias("samples")).write.option("compression", "gzip").json(f"{root}/lines")
+    orders.select(_text("GSE{o_orderkey}").alias("accession"), F.array(F.struct(_text("GSM{o_custkey}").alias("accession"))).alias("samples")).write.option("compression", "gzip").json(f"{root}/lines")
     orders.select(_text("SRX{o_orderkey}").alias("Accession"), F.col("o_orderstatus").alias("Status")).write.csv(f"{root}/tab", sep="\t", header=True, quote="", escape="")
     _projects(spark, sf_dir).select("raw_text").write.text(f"{root}/project")
     _samples(spark, sf_dir).select("raw_text").write.text(f"{root}/sample")

@@ -45,12 +45,31 @@ def marked_records(spark: SparkSession, path: str, tag: str, key: str) -> DataFr
     return found.filter("key <> ''").unionByName(_cut_off(spark, path, tag))
 
 
+#: A line of a series listing; its other fields are not read.
+SERIES_LINE = "accession string, gdstype string, bioproject string, gpl string, samples array<struct<accession:string>>"
+
+
+def series_listing(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """Rows of a series listing, JSON lines with nested samples; blank lines are none, and a line that is no JSON object raises.
+
+    kind keeps the series whose type holds it, whatever the case. Types as they are written are few, but the
+    condition is on their lower-case text, which the scan cannot test for itself.
+    """
+    rows = spark.read.schema(SERIES_LINE).option("mode", "FAILFAST").json(path)
+    return rows if kind is None else rows.filter(F.lower(F.coalesce("gdstype", F.lit(""))).contains(kind.lower()))
+
+
+def series_targets(spark: SparkSession, path: str, kind: str = "sequencing") -> DataFrame:
+    """(accession, gdstype, bioproject) of the listed series of a type; neither platforms nor samples are read."""
+    return series_listing(spark, path, kind).select("accession", "gdstype", F.trim(F.coalesce("bioproject", F.lit(""))).alias("bioproject"))
+
+
 def series_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(accession): the series of each JSON line, each of its samples, and each platform of its ;-separated list."""
-    rows = spark.read.schema("series string, samples array<string>, gpl string").json(path)
+    """(accession): the series of each line, each of its samples, and each platform of its ;-separated numbers."""
+    rows = series_listing(spark, path)
     platforms = F.transform(F.filter(F.split(F.coalesce("gpl", F.lit("")), ";"), lambda x: F.trim(x) != ""), lambda x: F.concat(F.lit("GPL"), F.trim(x)))
-    each = F.concat(F.array("series"), F.coalesce("samples", F.array().cast("array<string>")), platforms)
-    return rows.select(F.explode(each).alias("accession")).filter("accession is not null")
+    samples = F.coalesce(F.transform("samples", lambda s: s["accession"]), F.array().cast("array<string>"))
+    return rows.select(F.explode(F.concat(F.array("accession"), samples, platforms)).alias("accession")).filter("accession is not null")
 
 
 # Where marked-up listings state the accession of a record, one opening tag a line.

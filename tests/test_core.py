@@ -183,8 +183,9 @@ def test_readers(spark, tmp_path):
     (tmp_path / "p.xml").write_text('<?xml version="1.0"?>\n<Set>\n<P id="1"><x/></P>\n<P id="2">\n t</P></Set>\n')
     got = {tuple(r) for r in readers.marked_records(spark, str(tmp_path / "p.xml"), "P", 'id="([^"]+)"').collect()}
     assert got == {("1", '<P id="1"><x/></P>'), ("2", '<P id="2">\n t</P>')}
-    (tmp_path / "s.jsonl").write_text('{"series": "GSE1", "samples": ["GSM1"], "gpl": "96; 570"}\n{"series": "GSE2"}\n')
+    (tmp_path / "s.jsonl").write_text('{"accession": "GSE1", "gdstype": "By Sequencing", "bioproject": " PRJNA1", "samples": [{"accession": "GSM1", "title": "t"}], "gpl": "96; 570", "more": {"a": [1]}}\n\n{"accession": "GSE2", "gdstype": null}\n')
     assert {r.accession for r in readers.series_lines(spark, str(tmp_path / "s.jsonl")).collect()} == {"GSE1", "GSM1", "GPL96", "GPL570", "GSE2"}
+    assert [tuple(r) for r in readers.series_targets(spark, str(tmp_path / "s.jsonl")).collect()] == [("GSE1", "By Sequencing", "PRJNA1")]
     (tmp_path / "k.txt").write_text("gse2\n\n GSE1 \nGSE2\n")
     assert [r.key for r in readers.key_list(spark, str(tmp_path / "k.txt")).orderBy("place").collect()] == ["GSE2", "GSE1"]
     (tmp_path / "c.jsonl").write_text('{"source": "a", "bucket": "b", "parts": "p", "added": 2, "replaced": 0, "removed": 1}\n{"source": "a", "bucket": "b", "parts": "p", "added": 9, "replaced": 9, "removed": 9}\n{"source": "a", "buck')
