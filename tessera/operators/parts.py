@@ -287,3 +287,23 @@ def xml_faults(df: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(faults, pa.string())], names=["accession", "fault"])
 
     return found.select(F.col("accession").cast("string"), F.col("raw_text").cast("string")).mapInArrow(run, "accession string, fault string")
+
+
+#: Runs with the statistics of their reads.
+RUNS = Shape(wanted=("RUN", "Read"), texts=("RUN",))
+
+
+def run_blocks(df: DataFrame) -> DataFrame:
+    """(accession, raw_text, lengths, structure) of the runs in XML texts (accession, raw_text).
+
+    raw_text is the run's element as it stands, lengths the average length of each read by its index, rounded half to even;
+    a read without an index or a length counts for nothing, structure joins them such as 28+94. A run that stands in several
+    texts is taken from the one of the least accession; texts that are no XML have no runs.
+    """
+    found = parsed_xml(df, RUNS)
+    number = lambda name, kind: F.get(F.filter("fields", lambda f: f["name"] == f"Read@{name}"), 0)["value"].try_cast(kind)
+    reads = found.filter("tag = 'Read' and within = 'RUN'").select("origin", F.col("owner").alias("accession"), F.struct(number("index", "long").alias("i"), F.bround(number("average", "double")).cast("long").alias("n")).alias("r")).filter("r.i is not null and r.n is not null")
+    runs = found.filter("tag = 'RUN' and accession <> ''").groupBy("accession").agg(F.min_by(F.struct("origin", "raw_text"), F.struct("origin", "n")).alias("x")).select("accession", "x.origin", "x.raw_text")
+    lists = reads.groupBy("origin", "accession").agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["n"]).alias("lengths"))
+    lengths = F.coalesce("lengths", F.array().cast("array<bigint>"))
+    return runs.join(lists, ["origin", "accession"], "left").select("accession", "raw_text", lengths.alias("lengths"), F.array_join(lengths.cast("array<string>"), "+").alias("structure"))

@@ -88,6 +88,20 @@ def removal_candidates(runs: DataFrame, parent: str, public: Column, reached: Da
     return marked.filter("non_public or unreached").select(parent, "non_public", "unreached", "runs")
 
 
+def with_marked_runs(packages: DataFrame, marked: DataFrame) -> DataFrame:
+    """(accession, runs, raw_text) of packages that hold a marked run (column run): its runs in order, and the text.
+
+    Run keys are taken from the texts and joined without them; the texts of those packages that are left are
+    fetched last, so no text of another package is shuffled.
+    """
+    from tessera.functions.text import attribute
+
+    tags = F.regexp_extract_all("raw_text", F.lit(r"(<RUN\s[^>]*>)"), F.lit(1))
+    keys = packages.select("accession", F.explode(F.array_distinct(F.transform(tags, lambda t: attribute(t, "accession")))).alias("run")).filter("run is not null")
+    found = keys.join(marked.select("run").distinct(), "run", "left_semi").groupBy("accession").agg(F.array_sort(F.collect_set("run")).alias("runs"))
+    return packages.select("accession", "raw_text").join(found, "accession").select("accession", "runs", "raw_text")
+
+
 def to_retire(builds: DataFrame, readers: DataFrame, now: Column, grace_hours: int = 24, keep: int = 1) -> DataFrame:
     """Builds (build, made) to delete: not among the newest `keep`, past the grace time, and not read within it."""
     last = readers.groupBy("build").agg(F.max("at").alias("last_read"))
