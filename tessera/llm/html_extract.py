@@ -19,54 +19,73 @@ from .common import mapped
 from .html_tree import Tree, parse
 
 #: Generated pages that the trees are trained on.
-TRAINING_PAGES = 400  # and a quarter as many fragments
-# Attribute words that speak for and against main text.
+TRAINING_PAGES = 600  # and a quarter as many fragments
+# Attribute words that speak for main text, clearly against it, and against it at times; headings of what readers wrote.
 GOOD = frozenset("article body content entry main post story text hentry blog page paragraph".split())
-BAD = frozenset("ad ads advert advertisement aside banner breadcrumb breadcrumbs button byline caption comment comments consent cookie copyright dialog disqus footer form gdpr header hidden login menu meta modal nav navbar navigation newsletter notice pagination popup promo recommended related replies reply search share sharing sidebar signup social sponsor sponsored subscribe tag tags toolbar tooltip widget".split())
+BAD = frozenset("ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie copyright disqus footer gdpr hidden login menu modal nav navbar navigation newsletter pagination popup promo recommended related replies search sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+WEAK = frozenset("aside button byline caption dialog form header meta notice reply share tag tags tooltip".split())
+READERS = frozenset("comment comments replies reply responses response discussion".split())
 _TAGS = ("article", "main", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "table", "blockquote", "pre", "figure", "nav", "header", "footer", "aside", "form", "body", "button")
 _TAG_NUMBER = {t: k + 1 for k, t in enumerate(_TAGS)}
 _BAD_TAGS = frozenset(("nav", "footer", "aside", "form", "button", "select", "dialog", "menu"))
 
 
 def features(tree: Tree) -> np.ndarray:
-    """Features (nodes x 22): tag, attribute words, depth, subtree text and links, place among siblings."""
+    """Features (nodes x 30): tag, attribute words, depth, subtree text and links, place among siblings.
+
+    A name speaks against what stands below it only where little of the page does: an element that holds a heading
+    of the first rank and half of the page's own text or more is no noise by name, and nor is the body.
+    """
     n = len(tree.tag)
     chars, words, blocks, stops = (np.zeros(n) for _ in range(4))
+    readers, first = np.zeros(n), [True] * n
+    parent = tree.parent
     for node, text in zip(tree.block_node, tree.block_text, strict=True):
         chars[node] += len(text)
         words[node] += text.count(" ") + 1
         blocks[node] += 1
         stops[node] += text.count(".") + text.count(",")
+        up = parent[node] if node else 0
+        if first[up] and tree.tag[node] in ("h2", "h3", "h4") and text.count(" ") < 5 and not READERS.isdisjoint(text.lower().split()):
+            readers[up] = 1
+        while node >= 0 and first[node]:
+            first[node] = False
+            node = parent[node]
+    bad = np.array([sum(w in BAD for w in t) for t in tree.tokens], dtype=float)
+    part = np.array([sum(w[1:] in BAD for w in t if w[0] == "-") for t in tree.tokens], dtype=float)
+    weak = np.array([sum(w.removeprefix("-") in WEAK for w in t) for t in tree.tokens], dtype=float)
+    good = np.array([sum(w.removeprefix("-") in GOOD for w in t) for t in tree.tokens], dtype=float)
+    tag = np.array([_TAG_NUMBER.get(t, 0) for t in tree.tag], dtype=float)
+    bad_tag = np.array([t in _BAD_TAGS for t in tree.tag], dtype=float)
+    good_tag = np.array([t in ("article", "main") for t in tree.tag], dtype=float)
+    page_header = np.array([t == "header" for t in tree.tag], dtype=float)
     links, inline = np.array(tree.link_chars, dtype=float), np.array(tree.inline, dtype=float)
-    inner = np.ones(n)
-    children = np.zeros(n)
+    inner, children, titles, named = np.ones(n), np.zeros(n), np.array([t == "h1" for t in tree.tag], dtype=float), np.zeros(n)
     own = chars.copy()
-    parent = tree.parent
     for k in range(n - 1, 0, -1):  # children come after their parent
         p = parent[k]
-        for a in (chars, words, blocks, stops, links, inline, inner):
+        named[p] += chars[k] if bad[k] or bad_tag[k] or readers[k] else named[k]
+        for a in (chars, words, blocks, stops, links, inline, inner, titles):
             a[p] += a[k]
         children[p] += 1
-    good = np.array([sum(w in GOOD for w in t) for t in tree.tokens], dtype=float)
-    bad = np.array([sum(w in BAD for w in t) for t in tree.tokens], dtype=float)
-    tag = np.array([_TAG_NUMBER.get(t, 0) for t in tree.tag], dtype=float)
-    bad_tag = np.array([t in _BAD_TAGS for t in tree.tag], dtype=float)
-    good_tag = np.array([t in ("article", "main") for t in tree.tag], dtype=float)
-    page_header = np.array([t == "header" for t in tree.tag], dtype=float)
-    up_good, up_bad, up_article = np.zeros(n), np.zeros(n), np.zeros(n)
+    total, plain = max(chars[0], 1.0), max(chars[0] - links[0], 1.0)
+    share = np.maximum(chars - links, 0) / plain
+    whole = np.maximum(chars, 1.0)
+    holds = ((share >= 0.5) & (titles > 0)) | np.array([t in ("body", "html") for t in tree.tag])
+    up_good, up_bad, up_part, up_article, up_readers = (np.zeros(n) for _ in range(5))
     place, seen = np.zeros(n), np.zeros(n)
     for k in range(1, n):
         p = parent[k]
         up_good[k] = up_good[p] + good[p]
-        up_bad[k] = up_bad[p] + bad[p] + bad_tag[p] + (page_header[p] if not up_article[p] else 0)
+        up_bad[k] = up_bad[p] + (0 if holds[p] else (bad[p] > 0) + bad_tag[p] + (page_header[p] if not up_article[p] else 0))
+        up_part[k] = up_part[p] + (0 if holds[p] else (part[p] > 0) + (weak[p] > 0))
         up_article[k] = max(up_article[p], good_tag[p])
+        up_readers[k] = max(up_readers[p], readers[p])
         place[k] = seen[p]
         seen[p] += 1
     up = np.maximum(np.array(parent), 0)
-    total = max(chars[0], 1.0)
-    whole = np.maximum(chars, 1.0)
     return np.stack(
-        [tag, bad_tag, good_tag, page_header, np.minimum(good, 3), np.minimum(bad, 3), np.minimum(up_good, 3), np.minimum(up_bad, 3), up_article, np.array(tree.depth, dtype=float), np.log1p(chars), chars / total, words / np.maximum(blocks, 1), chars / inner, links / whole, inline / inner, stops / np.maximum(words, 1), children, place / np.maximum(children[up], 1), own / whole, chars / np.maximum(chars[up], 1), (chars == 0).astype(float)],
+        [tag, bad_tag, good_tag, page_header, np.minimum(good, 3), np.minimum(bad, 3), np.minimum(part, 3), np.minimum(weak, 3), np.minimum(up_good, 3), np.minimum(up_bad, 3), np.minimum(up_part, 3), up_article, readers, up_readers, holds.astype(float), np.minimum(titles, 2), named / whole, share, np.array(tree.depth, dtype=float), np.log1p(chars), chars / total, words / np.maximum(blocks, 1), chars / inner, links / whole, inline / inner, stops / np.maximum(words, 1), children, place / np.maximum(children[up], 1), own / whole, chars / np.maximum(chars[up], 1)],
         axis=1,
     )
 
@@ -102,6 +121,18 @@ def _generated_page(rng: random.Random) -> tuple[str, str]:
     def menu() -> str:
         return "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.randint(2, 8))) + "</ul>"
 
+    def misnamed() -> str:
+        """Names of an element that holds the article, among them words that elsewhere name noise."""
+        odd = lambda: some(sorted(BAD | WEAK))
+        names = [some((lambda: f"{odd()}-{word()}", lambda: f"{word()}-{odd()}", lambda: f"no-{odd()}", lambda: f"{odd()}-open", lambda: some(sorted(WEAK)), lambda: some(("post", "hentry", "page", "single", "layout", "home"))))() for _ in range(rng.randint(1, 4))]
+        return f' class="{" ".join(names)}"'
+
+    def misnamed() -> str:
+        """Names of an element that holds the article, among them words that elsewhere name noise."""
+        odd = lambda: some(sorted(BAD | WEAK))
+        names = [some((lambda: f"{odd()}-{word()}", lambda: f"{word()}-{odd()}", lambda: f"no-{odd()}", lambda: f"{odd()}-open", lambda: some(sorted(WEAK)), lambda: some(("post", "hentry", "page", "single", "layout", "home"))))() for _ in range(rng.randint(1, 4))]
+        return f' class="{" ".join(names)}"'
+
     def paragraph(mark: bool) -> str:
         s = sentence(1, 60) + (" " + sentence(2, 40) if rng.random() < 0.5 else "")
         s = marked(s) if mark else s
@@ -115,8 +146,13 @@ def _generated_page(rng: random.Random) -> tuple[str, str]:
         out = [f"<h1>{marked(sentence(1, 9))}</h1>"] if rng.random() < 0.9 else []
         for _ in range(rng.randint(1, 12)):
             kind = rng.random()
-            if kind < 0.75:
+            if kind < 0.68:
                 out.append(paragraph(True))
+            elif kind < 0.72:
+                out.append(f'<p class="{some(sorted(WEAK))} {word()}">{marked(sentence(4, 40))}</p>')
+            elif kind < 0.75:
+                caption = some(("figcaption", 'p class="caption"', 'div class="caption"'))
+                out.append(f'<figure><img src="a.png"><{caption}>{marked(sentence(2, 20))}</{caption.split()[0]}></figure>')
             elif kind < 0.82:
                 out.append(f"<h2>{marked(sentence(1, 6))}</h2>")
             elif kind < 0.88:
@@ -139,16 +175,23 @@ def _generated_page(rng: random.Random) -> tuple[str, str]:
                 lambda: f'<form><label>{word()}</label><input name="a"><button>{word()}</button>{sentence(1, 5)}</form>',
                 lambda: f'<div class="breadcrumbs">{link()} / {link()}</div>',
                 lambda: f'<div id="{some(("comments", "replies", "disqus"))}">' + "".join(f'<div class="comment"><p>{sentence(2, 40)}</p></div>' for _ in range(rng.randint(1, 4))) + "</div>",
+                lambda: f'<{some(("section", "div"))}><h{(level := some((2, 3)))}>{some(("Comments", "3 Comments", "12 comments", "Replies", "Responses", "Discussion"))}</h{level}>' + "".join(f"<div><p>{sentence(2, 60)}</p></div>" for _ in range(rng.randint(1, 12))) + "</section></div>",
+                lambda: f'<section class="{some(("comments", "comment-list", "post-comments"))}"><h2>{sentence(1, 2)}</h2>' + "".join(f'<div class="comment"><p>{sentence(5, 60)}</p></div>' for _ in range(rng.randint(3, 14))) + "</section>",
+                lambda: f'<{some(("section", "div"))}><h{(level := some((2, 3)))}>{some(("Comments", "3 Comments", "12 comments", "Replies", "Responses", "Discussion"))}</h{level}>' + "".join(f"<div><p>{sentence(2, 60)}</p></div>" for _ in range(rng.randint(1, 12))) + "</section></div>",
+                lambda: f'<section class="{some(("comments", "comment-list", "post-comments"))}"><h2>{sentence(1, 2)}</h2>' + "".join(f'<div class="comment"><p>{sentence(5, 60)}</p></div>' for _ in range(rng.randint(3, 14))) + "</section>",
                 lambda: f'<section class="comments"><h2>{sentence(1, 2)}</h2>' + "".join(f"<article><p>{sentence(2, 40)}</p></article>" for _ in range(rng.randint(1, 4))) + "</section>",
             )
         )()
 
     body = article()
     shape = rng.random()
-    if shape < 0.6:
-        body = f"<article>{body}</article>"
-    elif shape < 0.75:
-        body = f"<main><article>{body}</article></main>"
+    names = misnamed() if rng.random() < 0.5 and "<h1>" in body else ""
+    if shape < 0.5:
+        body = f"<article{names}>{body}</article>"
+    elif shape < 0.65:
+        body = f"<main{names}><article>{body}</article></main>"
+    elif shape < 0.75 and names:
+        body = f"<{(tag := some(('section', 'div')))}{names}>{body}</{tag}>"
     elif shape < 0.9:
         body = f'<div class="{some(("content", "post-body", "entry-content", "main-text", "article-body"))}">{body}</div>'
     else:
@@ -159,7 +202,12 @@ def _generated_page(rng: random.Random) -> tuple[str, str]:
     before = [noise() for _ in range(rng.randint(0, 2))]
     after = [noise() for _ in range(rng.randint(0, 2))]
     foot = f"<footer>&copy; {word()} &middot; {sentence(1, 12)}</footer>" if rng.random() < 0.9 else f'<div id="footer">{sentence(1, 12)}</div>'
-    return f"<html><head><title>{sentence(1, 5)}</title></head><body>" + "".join(top + before) + body + "".join(after) + foot + ("</body></html>" if rng.random() < 0.9 else ""), body
+    inner = "".join(top + before) + body + "".join(after) + foot
+    if "<h1>" in body and rng.random() < 0.3:
+        wrapper = some(("div", "div", "section", "form"))
+        inner = f"<{wrapper}{misnamed() if rng.random() < 0.7 else ''}>{inner}</{wrapper}>"
+    page = f"<body{misnamed() if rng.random() < 0.4 else ''}>"
+    return f"<html><head><title>{sentence(1, 5)}</title></head>{page}" + inner + ("</body></html>" if rng.random() < 0.9 else ""), body
 
 
 def _generated_fragment(rng: random.Random) -> str:

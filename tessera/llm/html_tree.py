@@ -120,13 +120,30 @@ class Tree:
     block_text: list[str] = field(default_factory=list)
 
 
+# Words by which a name tells how a page is set, not what an element is for.
+_STATES = frozenset("no not without has with is open opened closed fixed sticky left right wide full enabled disabled free type count on off".split())
+
+
+# Words by which a name tells how a page is set, not what an element is for.
+_STATES = frozenset("no not without has with is open opened closed fixed sticky left right wide full enabled disabled free type count on off".split())
+
+
 def _attributes(source: str) -> list[str]:
-    """Words of the attributes that say what an element is for; "hidden" for one that is not shown."""
+    """Words of the attributes that say what an element is for; "hidden" for one that is not shown.
+
+    A word that is only part of a name, such as tag-cloud, has a hyphen before it; names that tell of a state, such
+    as no-sidebar or header-fixed, have none of their words.
+    """
     words: list[str] = []
     for key, *values in _ATTRIBUTE.findall(source):
         key = key.lower()
         if key in _JUDGED:
-            words += _WORD.findall(_CAMEL.sub(r"\1 \2", "".join(values)).lower())
+            for name in "".join(values).split():
+                found = _WORD.findall(_CAMEL.sub(r"\1 \2", name).lower())
+                if len(found) == 1:
+                    words += found
+                elif not _STATES.intersection(found):
+                    words += ["-" + w for w in found]
         elif key == "hidden" or (key == "style" and _NOT_SHOWN.search("".join(values))):
             words.append("hidden")
     return words
