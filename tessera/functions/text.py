@@ -38,6 +38,13 @@ def tagged_fields(body: Column) -> Column:
     return F.transform(lines, lambda s: F.struct(F.trim(F.regexp_extract(s, r"^!([^=]+?)\s*=", 1)).alias("name"), F.trim(F.regexp_extract(s, r"^![^=]+=(.*)$", 1)).alias("value")))
 
 
+def relation_lines(text: Column, entity: str) -> Column:
+    """(label, far) of the relation lines of an entity in line-tagged text: what stands before and behind the first colon."""
+    lines = F.filter(F.split(text, r"\r?\n"), lambda s: s.startswith(f"!{entity}_relation"))
+    stated = F.transform(lines, lambda s: F.trim(F.regexp_replace(s, r"^[^=]*=", "")))
+    return F.transform(stated, lambda v: F.struct(F.trim(F.substring_index(v, ":", 1)).alias("label"), F.trim(F.regexp_replace(v, r"^[^:]*:?", "")).alias("far")))
+
+
 def strip_tables(text: Column) -> Column:
     """Line-tagged text without its sample and platform tables."""
     return F.regexp_replace(text, r"(?ims)^!(sample|platform)_table_begin.*?^!(sample|platform)_table_end[^\n]*(\n|\z)", "")

@@ -2,28 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.functions.keys import kind_of
+from tessera.functions.text import query_value, relation_lines
+
 from .graph import closure
 
-# Patterns of the relation lines of line-tagged texts, with one group for the far end.
-SERIES_RELATION = r"(?m)^!Series_relation = (?:Reanalysis of|SuperSeries of|SubSeries of): (GSE\d+)"
-SRA_RELATION = r"(?m)^!Sample_relation\s*=\s*SRA:\s*\S*?[?&]term=([SED]RX\d+)"
+# Labels of the relation lines by which one series names another, and by which a sample names its experiment.
+SERIES_LABELS = ("Reanalysis of", "SuperSeries of", "SubSeries of")
+EXPERIMENT_LABEL = "SRA"
 SAMPLE = r"GSM\d+"
 WHOLE_KEY = r"^[A-Z]+[0-9]+$"
 
 
-def named_in(texts: DataFrame, pattern: str, keys: DataFrame | None = None) -> DataFrame:
-    """(found): what a pattern with one group finds in texts (key, raw_text) of the keys (key), or of all; each once."""
+def named_series(text: Column) -> Column:
+    """Series that the relation lines of a series name."""
+    rows = F.filter(relation_lines(text, "Series"), lambda r: r["label"].isin(*SERIES_LABELS) & (kind_of(r["far"]) == "Series"))
+    return F.transform(rows, lambda r: r["far"])
+
+
+def named_experiments(text: Column) -> Column:
+    """Experiments whose address the relation lines of samples give."""
+    keys = F.transform(F.filter(relation_lines(text, "Sample"), lambda r: r["label"] == EXPERIMENT_LABEL), lambda r: query_value(r["far"], "term"))
+    return F.filter(keys, lambda k: F.coalesce(kind_of(k) == "Experiment", F.lit(False)))
+
+
+def named_in(texts: DataFrame, named: Callable[[Column], Column], keys: DataFrame | None = None) -> DataFrame:
+    """(found): what texts (key, raw_text) of the keys (key), or all, name; each once."""
     rows = texts if keys is None else texts.join(keys.select("key").distinct(), "key", "left_semi")
-    return rows.select(F.explode(F.regexp_extract_all("raw_text", F.lit(pattern), F.lit(1))).alias("found")).distinct()
+    return rows.select(F.explode(named(F.col("raw_text"))).alias("found")).distinct()
 
 
 def related(texts: DataFrame, roots: DataFrame) -> DataFrame:
     """(key): the roots and every series that texts name by a relation line, in turn. A series without a text is reached, and ends there."""
-    named = texts.select(F.col("key").alias("from"), F.explode(F.regexp_extract_all("raw_text", F.lit(SERIES_RELATION), F.lit(1))).alias("to"))
+    named = texts.select(F.col("key").alias("from"), F.explode(named_series(F.col("raw_text"))).alias("to"))
     return closure(named.withColumn("relation", F.lit("names")), roots, ["names"])
 
 
@@ -54,7 +70,7 @@ def experiment_list(texts: DataFrame, tab: DataFrame, listing: DataFrame, series
     """(accession, status) of experiments that texts of the series name, or whose sample is listed under one; status is empty where the tab lacks it."""
     own = tab_experiments(tab)
     by_sample = own.join(samples_under(listing, series), "sample", "left_semi").select("accession")
-    wanted = by_sample.union(named_in(texts, SRA_RELATION, series)).distinct()
+    wanted = by_sample.union(named_in(texts, named_experiments, series)).distinct()
     status = own.groupBy("accession").agg(F.max("status").alias("status"))
     return wanted.join(status, "accession", "left").filter(F.col("accession").rlike(WHOLE_KEY)).select("accession", F.coalesce("status", F.lit("")).alias("status"))
 

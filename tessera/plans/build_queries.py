@@ -14,7 +14,7 @@ from tessera.operators import log, packages, papers, parse, refresh
 from tessera.sources import readers
 from tessera.sources.raw_log import RawLog
 from tessera.sources.scratch import work_path
-from tessera.sources.tables import Versions, layout_faults, manifest, write_keyed, write_table
+from tessera.sources.tables import layout_faults, manifest, read_keyed, write_keyed, write_table
 
 from .base import Catalogue, table
 
@@ -276,7 +276,7 @@ def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         except papers.BrokenRule:
             continue
         raise AssertionError("a broken rule was not seen")
-    return spark.read.schema(schema.HOLDINGS.schema).parquet(path)
+    return read_keyed(spark, schema.HOLDINGS, path)
 
 
 @add("""

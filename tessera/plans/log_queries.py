@@ -177,7 +177,15 @@ def snapshot_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     previous = events.filter("event_type = 'view'").groupBy("user_id").agg(F.max("value").alias("value"))
     fresh = events.filter("event_type = 'click' and value > 25").groupBy("user_id").agg(F.min("value").alias("value"))
-    return refresh.patched(previous, fresh, events.filter("event_type = 'purchase'"), "user_id", least=10**9)
+    listed = events.filter("event_type = 'purchase'")
+    lost = previous.join(listed, "user_id", "left_anti").count()
+    if lost:  # one less than what is lost is too few
+        try:
+            refresh.patched(previous, fresh, listed, "user_id", least=lost - 1, share=0)
+            raise AssertionError("the guard let too many go")
+        except refresh.TooManyLost:
+            pass
+    return refresh.patched(previous, fresh, listed, "user_id", least=lost, share=0)
 
 
 @add("""
@@ -191,7 +199,15 @@ def copy_diff_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), "p_size", "p_brand", "p_type")
     local = part.filter("p_size > 2")
     remote = part.filter("p_size < 48").withColumn("p_size", F.when(F.col("p_type").startswith("ECO"), F.col("p_size") + 1).otherwise(F.col("p_size")))
-    return refresh.guarded(refresh.copy_diff(local, remote, "key", ["p_size", "p_brand"]), remote.count(), accepted=10**6)
+    diff = refresh.copy_diff(local, remote, "key", ["p_size", "p_brand"])
+    deletes = diff.filter("action = 'delete'").count()
+    if deletes > 1:  # of a copy no larger than what goes, and accepted for one less
+        try:
+            refresh.guarded(diff, deletes, accepted=deletes - 1)
+            raise AssertionError("the guard let too many go")
+        except refresh.TooManyLost:
+            pass
+    return refresh.guarded(diff, remote.count(), accepted=deletes)
 
 
 @add("""

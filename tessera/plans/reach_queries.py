@@ -65,7 +65,7 @@ _LIST_SQL = """
 @add("SELECT DISTINCT 'SRX' || l_partkey AS found FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'O'")
 def named_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Experiments that the texts of live series name."""
-    return reach.named_in(_texts(spark, sf_dir), reach.SRA_RELATION, _live(spark, sf_dir))
+    return reach.named_in(_texts(spark, sf_dir), reach.named_experiments, _live(spark, sf_dir))
 
 
 @add("""
@@ -137,7 +137,7 @@ def snapshot_accessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     _projects(spark, sf_dir).select("raw_text").write.text(f"{root}/project")
     _samples(spark, sf_dir).select("raw_text").write.text(f"{root}/sample")
     parts = [F.lit(form).alias("form") for form in ("lines", "tab", "project", "sample")]
-    found = [readers.series_lines(spark, f"{root}/lines"), readers.first_cells(spark, f"{root}/tab"), readers.line_matches(spark, f"{root}/project", readers.PROJECT_ID), readers.line_matches(spark, f"{root}/sample", readers.SAMPLE_ID)]
+    found = [readers.series_lines(spark, f"{root}/lines"), readers.first_cells(spark, f"{root}/tab"), readers.tag_accessions(spark, f"{root}/project", "ArchiveID", "BioProject"), readers.tag_accessions(spark, f"{root}/sample", "BioSample", "BioSample")]
     out = found[0].select(parts[0], "accession")
     for form, rows in zip(parts[1:], found[1:], strict=True):
         out = out.unionAll(rows.select(form, "accession"))

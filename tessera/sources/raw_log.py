@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,16 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessera.functions.keys import bucket_of
 from tessera.operators import log
 
+_STATE = "base long, covers long, name string, counts string"
 _ROW = "accession string, raw_text string, hash string, fetch_date string, op string"
 
 
 class RawLog:
     """Rows of one source by accession under a folder.
 
-    parts/part=N holds what was appended N-th, base/base=K what the K-th packing has left, and
-    state the JSON row of each packing: its base and the last part it covers. A reader takes the
-    newest state row, its base and the parts after it, so a packing that broke off changes
-    nothing, and reads before and after a packing agree.
+    parts/part=N holds what was appended N-th, base/name=X what a packing has left, and state the JSON
+    row of each packing: its number, the last part it covers and its base's name. A reader takes the
+    newest state row, its base and the parts after it, so a packing that broke off changes nothing,
+    and reads before and after a packing agree. Two packings at a time write apart; of two of one
+    number the one that covers more counts, then the one of the later name.
     """
 
     def __init__(self, spark: SparkSession, path: str, width: int = 1000) -> None:
@@ -31,10 +34,11 @@ class RawLog:
         except AnalysisException:  # nothing written there yet
             return None
 
-    def _state(self) -> tuple[int, int]:
-        rows = self._read("state", "base long, covers long, counts string", "json")
-        last = None if rows is None else rows.orderBy(F.col("base").desc()).first()
-        return (0, 0) if last is None else (last.base, last.covers)
+    def _state(self) -> tuple[int, int, str]:
+        """Number, covered parts and base's name of the newest packing."""
+        rows = self._read("state", _STATE, "json")
+        last = None if rows is None else rows.orderBy(*(F.col(c).desc() for c in ("base", "covers", "name"))).first()
+        return (0, 0, "") if last is None else (last.base, last.covers, last.name)
 
     def append(self, number: int, rows: DataFrame) -> None:
         """Add puts (accession, raw_text, fetch_date) as part `number`; a part that is written again replaces itself."""
@@ -58,9 +62,9 @@ class RawLog:
 
     def layers(self, wanted: DataFrame | None = None) -> DataFrame:
         """All rows that count, with `part` as write order; wanted (accession) narrows them before anything is shuffled."""
-        base, covers = self._state()
+        base, covers, name = self._state()
         out = self.spark.createDataFrame([], f"{_ROW}, part long")
-        if base and (rows := self._read(f"base/base={base}", _ROW)) is not None:
+        if base and (rows := self._read(f"base/name={name}", _ROW)) is not None:
             out = out.union(rows.withColumn("part", F.lit(0).cast("long")))
         if (parts := self._read("parts", f"{_ROW}, part long")) is not None:
             out = out.union(parts.filter(F.col("part") > covers).select(*out.columns))
@@ -80,17 +84,18 @@ class RawLog:
 
         Asked keys stay until a removal covers them. The new base counts once its state row is written.
         """
-        base, _ = self._state()
+        base, _, name = self._state()
+        new_name = uuid.uuid4().hex
         parts = self._read("parts", f"{_ROW}, part long")
         last = (parts.agg(F.max("part").alias("m")).first()["m"] if parts is not None else None) or 0
         asked = self._bare(self.asked().filter("asked"), log.ASKED)
         packed = self.read().withColumn("op", F.lit(log.PUT)).unionByName(asked)
-        packed.repartitionByRange("accession").sortWithinPartitions("accession").write.mode("overwrite").parquet(f"{self.path}/base/base={base + 1}")
+        packed.repartitionByRange("accession").sortWithinPartitions("accession").write.parquet(f"{self.path}/base/name={new_name}")
         none = self.spark.createDataFrame([], _ROW)
-        old = (self._read(f"base/base={base}", _ROW) if base else None) or none
-        new = self._read(f"base/base={base + 1}", _ROW) or none
+        old = (self._read(f"base/name={name}", _ROW) if base else None) or none
+        new = self._read(f"base/name={new_name}", _ROW) or none
         tally = log.change_tally(old.filter(F.col("op") == log.PUT), new.filter(F.col("op") == log.PUT), "accession", "hash", bucket_of(F.col("accession"), self.width))
         total = tally.agg(*(F.sum(c).alias(c) for c in ("added", "replaced", "removed"))).first().asDict()
-        mark = self.spark.createDataFrame([(base + 1, last, json.dumps(total))], "base long, covers long, counts string")
+        mark = self.spark.createDataFrame([(base + 1, last, new_name, json.dumps(total))], _STATE)
         mark.coalesce(1).write.mode("append").json(f"{self.path}/state")
         return tally

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tessera.functions.keys import kind_of
+from tessera.functions.text import attribute
+
 
 def tab_rows(spark: SparkSession, path: str, schema: StructType | str, keep: Column | None = None) -> DataFrame:
     """Rows of a tab-separated file with a header; a cell of one hyphen reads as empty text.
@@ -72,20 +75,17 @@ def series_lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.explode(F.concat(F.array("accession"), samples, platforms)).alias("accession")).filter("accession is not null")
 
 
-# Where marked-up listings state the accession of a record, one opening tag a line.
-PROJECT_ID = r'<ArchiveID\b[^>]*?\baccession="(PRJ[A-Z]+\d+)"'
-SAMPLE_ID = r'<BioSample\b[^>]*?\baccession="(SAM[A-Z]+\d+)"'
-
-
 def first_cells(spark: SparkSession, path: str) -> DataFrame:
     """(accession): the first cell of each line of a tab-separated file with a header, empty ones left out; no other cell is read."""
     df = spark.read.csv(path, sep="\t", header=True, quote="", escape="")
     return df.select(F.trim(F.col(f"`{df.columns[0]}`")).alias("accession")).filter("accession <> ''")
 
 
-def line_matches(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """(accession): all matches of a pattern with one group in the lines of a file; repeats are possible."""
-    return spark.read.text(path).select(F.explode(F.regexp_extract_all("value", F.lit(pattern), F.lit(1))).alias("accession"))
+def tag_accessions(spark: SparkSession, path: str, tag: str, kind: str) -> DataFrame:
+    """(accession): the accessions of a kind that the opening tags of a marked-up file state, a tag on one line; repeats are possible."""
+    tags = F.regexp_extract_all("value", F.lit(rf"(<{tag}\s[^>]*>)"), F.lit(1))
+    rows = spark.read.text(path).select(F.explode(F.transform(tags, lambda t: attribute(t, "accession"))).alias("accession"))
+    return rows.filter(kind_of(F.col("accession")) == kind)
 
 
 def key_list(spark: SparkSession, path: str) -> DataFrame:

@@ -1,11 +1,12 @@
 from pyspark.sql import functions as F
 
 import pytest
+from pyspark.errors import PySparkException
 
 from tessera import schema
 from tessera.operators.papers import BrokenRule
 from tessera.sources.raw_log import RawLog
-from tessera.sources.tables import layout_faults, manifest, write_keyed, write_table
+from tessera.sources.tables import Versions, layout_faults, manifest, read_keyed, write_keyed, write_table
 
 
 def rows(spark, *pairs):
@@ -48,11 +49,37 @@ def test_keyed_tables_and_layout(spark, tmp_path):
     write_keyed(good, schema.NOTES, path, ["accession"], vocabulary={"kind": ["a", "b"]})
     with pytest.raises(BrokenRule):
         write_keyed(good.union(good), schema.NOTES, path, ["accession"])
-    assert spark.read.parquet(path).count() == 3
+    broken = good.withColumn("detail", F.when(F.col("detail") == "z", F.raise_error(F.lit("no more"))).otherwise(F.col("detail")))
+    with pytest.raises(PySparkException):
+        write_keyed(broken, schema.NOTES, path, ["accession"])
+    assert read_keyed(spark, schema.NOTES, path).count() == 3 and read_keyed(spark, schema.NOTES, str(tmp_path / "none")).count() == 0
+    versions = Versions(spark, path)
+    root, path = path, versions.path(versions.current(), "notes")
     assert layout_faults(spark, schema.NOTES, path) == []
     assert layout_faults(spark, schema.HOLDINGS, path)
+    write_keyed(good.limit(1), schema.NOTES, root, ["accession"])
+    assert read_keyed(spark, schema.NOTES, root).count() == 1
     good.coalesce(1).orderBy(F.desc("accession")).write.parquet(str(tmp_path / "bad"))
     assert layout_faults(spark, schema.NOTES, str(tmp_path / "bad"))
     assert manifest(spark, path).filter("bytes > 0 and length(sha256) = 64").count() >= 1
     write_table(good.select("accession", F.col("kind").alias("reason"), "detail"), schema.GAPS, str(tmp_path / "gaps"), parts=2)
     assert [r.accession for r in spark.read.parquet(str(tmp_path / "gaps")).collect()] != []
+
+
+def test_two_writers_of_one_number(spark, tmp_path):
+    one, two = (Versions(spark, str(tmp_path / "v")) for _ in range(2))
+    for versions in (one, two):
+        versions.history = lambda: []  # both have read before either wrote
+    one.publish("a")
+    two.publish("b")
+    found = [Versions(spark, str(tmp_path / "v")).history() for _ in range(2)]
+    assert found[0] == found[1] and sorted(found[0]) == ["a", "b"]
+    raw = RawLog(spark, str(tmp_path / "raw"))
+    raw.append(1, rows(spark, ("GSE1", "a")))
+    other, seen = RawLog(spark, str(tmp_path / "raw")), raw._state()
+    other._state = lambda: seen
+    raw.pack()
+    raw.append(2, rows(spark, ("GSE2", "b")))
+    other.pack()  # it took the same number, but covers more
+    del other._state
+    assert content(raw) == content(other) == {("GSE1", "a"), ("GSE2", "b")}
