@@ -33,6 +33,35 @@ def number_of(key: Column) -> Column:
     return F.nullif(F.regexp_extract(key, r"(\d+)$", 1), F.lit("")).cast("long")
 
 
+# What is added to the number of a series or sample in its numeric id.
+UID_OFFSETS = {
+    "GSE": 200_000_000,
+    "GSM": 300_000_000,
+}
+
+
+def uid_of(accession: Column) -> Column:
+    """Numeric id of a series or sample; null for other keys."""
+    return F.coalesce(*(F.when(accession.rlike(f"^{p}[0-9]+$"), F.lit(n) + F.substring(accession, 4, 20).cast("long")) for p, n in UID_OFFSETS.items()))
+
+
+def accession_of_uid(uid: Column) -> Column:
+    """The series or sample of a numeric id; null for an id of neither. Ids of a kind run to the next kind's first."""
+    out, after = F.lit(None).cast("string"), 400_000_000
+    for p, n in sorted(UID_OFFSETS.items(), key=lambda x: -x[1]):
+        out = F.when((uid > n) & (uid < after), F.concat(F.lit(p), (uid - n).cast("string"))).otherwise(out)
+        after = n
+    return out
+
+
+def paper_folder(key: Column) -> Column:
+    """Folder of a paper: that of a number in a group of a thousand, that of a name in one of names, with all but plain characters escaped."""
+    group = F.regexp_replace(key, r".{1,3}$", "")
+    # url_encode writes a blank as + and escapes ~, which a path does not
+    name = F.replace(F.replace(F.replace(F.url_encode(key), F.lit("+"), F.lit("%20")), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+    return F.when(key.rlike("^[0-9]+$"), F.concat(F.lit("papers/"), group, F.lit("nnn/"), key)).otherwise(F.concat(F.lit("papers/doi/"), name))
+
+
 def bucket_of(key: Column, width: int) -> Column:
     """Prefix and number with the low digits masked: width 1000 puts GSE12345 into GSE12nnn."""
     n = len(str(width)) - 1

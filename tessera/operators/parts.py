@@ -57,6 +57,7 @@ class Part:
     fields: list[tuple[str, str]]
     end: int = 0
     text: str | None = None
+    data: list[str] | None = None
 
 
 def fault_of(error: expat.ExpatError) -> str:
@@ -67,8 +68,8 @@ def fault_of(error: expat.ExpatError) -> str:
 class _Reader:
     """Event handlers of one XML text. The root is a part, and so is each element whose tag is wanted."""
 
-    def __init__(self, body: bytes, wanted: frozenset[str]) -> None:
-        self.body, self.wanted = body, wanted
+    def __init__(self, body: bytes, wanted: frozenset[str], plain: frozenset[str]) -> None:
+        self.body, self.wanted, self.plain = body, wanted, plain
         self.path: list[str] = []
         self.text: list[list[str] | None] = []
         self.starts: list[int] = []
@@ -95,9 +96,11 @@ class _Reader:
         self._own_text()
         at = self.parser.CurrentByteIndex
         pairs = list(zip(attributes[::2], attributes[1::2], strict=True))
-        if not self.path or tag in self.wanted:
+        right_within = bool(self.open) and self.open[-1].base + 1 == len(self.path)
+        if not self.path or (tag in self.wanted and (right_within or tag not in self.plain)):
             owner = next((p.accession for p in reversed(self.open) if p.accession), "")
             part = Part(tag, dict(pairs).get("accession", ""), self.open[-1].tag if self.open else "", owner, len(self.path), at, [])
+            part.data = [] if tag in self.plain else None
             self.open.append(part)
             self.parts.append(part)
         self.path.append(tag)
@@ -109,6 +112,9 @@ class _Reader:
     def chars(self, text: str) -> None:
         if self.text and self.text[-1] is not None:
             self.text[-1].append(text)
+        for part in self.open:
+            if part.data is not None:
+                part.data.append(text)
 
     def end(self, tag: str) -> None:
         self._own_text()
@@ -126,7 +132,8 @@ class Shape:
     """Which parts of an XML text become rows, and what of them is kept.
 
     wanted: tags that are parts beside the root; texts: tags that keep their text; whole: tags that take the whole
-    text; bare: tags without fields. The root
+    text; plain: tags that are parts only right within another
+    part, and keep their character data without markup; bare: tags without fields. The root
     takes the accession of its first part of the tag head, and a text without one is at fault; lend gives the parts
     of a tag one attribute of the first part of another, as a last field.
     """
@@ -134,6 +141,7 @@ class Shape:
     wanted: tuple[str, ...] = ()
     texts: tuple[str, ...] = ()
     whole: tuple[str, ...] = ()
+    plain: tuple[str, ...] = ()
     bare: tuple[str, ...] = ()
     head: str = ""
     lend: tuple[tuple[str, str, str], ...] = ()
@@ -150,7 +158,7 @@ def xml_parts(text: str, shape: Shape) -> list[Part]:
     then its children. Paths begin at the part. owner is the accession of the nearest part around it that has one.
     """
     body = text.encode("utf-8", "surrogatepass")
-    reader = _Reader(body, frozenset(shape.wanted))
+    reader = _Reader(body, frozenset(shape.wanted), frozenset(shape.plain))
     reader.parser.Parse(body, True)
     parts = reader.parts
     if shape.head:
@@ -166,7 +174,9 @@ def xml_parts(text: str, shape: Shape) -> list[Part]:
             if part.tag == tag and given is not None:
                 part.fields.append((f"{giver}@{name}", given))
     for part in parts:
-        if part.tag in shape.whole:
+        if part.data is not None:
+            part.text = "".join(part.data)
+        elif part.tag in shape.whole:
             part.text = text
         elif part.tag in shape.texts:
             part.text = body[part.start : part.end].decode("utf-8", "surrogatepass")

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera import schema
-from tessera.operators import packages, parts, refresh, rounds, standing
+from tessera.functions import keys, text as tx
+from tessera.operators import packages, paper_files, parts, refresh, rounds, standing
 from tessera.sources import seals
 from tessera.sources.scratch import work_path
 from tessera.sources.tables import Versions
@@ -220,3 +221,52 @@ def range_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     most = orders.agg(F.max("o_totalprice").alias("m"))
     wanted = orders.join(F.broadcast(most), F.col("o_totalprice") > F.col("m") * 0.97).select(key.alias("k"))
     return Store(spark, versions.root, "v").open_many([r.k for r in wanted.collect()]).select("accession", "status", "raw_text")
+
+
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(paper, raw_text): each part as a paper with a figure in two sizes, a supplement named twice, a table's image and an inline one."""
+    raw = _text(
+        '<article xmlns:xlink="x"><fig id="f"><label>Figure {p_partkey}</label><caption><p>{p_name}, H<sub>2</sub>O</p></caption><graphic xlink:href="f{p_partkey}"/></fig><p>see <inline-graphic xlink:href="a/i{p_partkey}.gif"/></p>',
+        '<supplementary-material><label>S1</label><caption><title>Size  {p_size}</title></caption><media xlink:href="s{p_partkey}.xlsx"/></supplementary-material><supplementary-material xlink:href="s{p_partkey}.xlsx"><label>S2</label></supplementary-material>',
+        '<table-wrap><label>Table 1</label><alternatives><graphic xlink:href="t{p_partkey}.jpg"/></alternatives></table-wrap></article>',
+    )
+    return table(spark, sf_dir, "part").select(_text("P{p_partkey}").alias("paper"), "p_partkey", "p_size", F.when(F.col("p_size") > 48, F.substring_index(raw, "</article>", 1)).otherwise(raw).alias("raw_text"))
+
+
+@add("""
+    SELECT 'P' || p_partkey AS paper, unnest(['supplement', 'figure', 'figure', 'inline']) AS kind, unnest(['s' || p_partkey || '.xlsx', 'f' || p_partkey, 't' || p_partkey || '.jpg', 'i' || p_partkey || '.gif']) AS href,
+        unnest(['S1; S2', 'Figure ' || p_partkey, 'Table 1', NULL]) AS label, unnest(['Size ' || p_size, p_name || ', H2O', NULL, NULL]) AS caption FROM part WHERE p_size <= 48
+""")
+def paper_named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplements, figures and inline images that papers name, with labels and captions; a text cut off names none."""
+    return paper_files.named_files(_articles(spark, sf_dir))
+
+
+@add("""
+    WITH p AS (SELECT p_partkey AS k, p_size <= 48 AS whole FROM part)
+    SELECT 'P' || k AS paper, 's' || k || '.xlsx' AS name, 'supplement' AS kind, CASE WHEN whole THEN 'S1; S2' END AS label FROM p UNION ALL SELECT 'P' || k, 'f' || k || '.jpg', 'figure', 'Figure ' || k FROM p WHERE whole
+    UNION ALL SELECT 'P' || k, 't' || k || '.jpg', 'figure', 'Table 1' FROM p WHERE whole UNION ALL SELECT 'P' || k, 'other.zip', 'supplement', NULL FROM p
+""")
+def paper_chosen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed files to keep: supplements, the largest image of each figure, neither inline nor unsafe ones."""
+    articles = _articles(spark, sf_dir)
+    names = F.array(*(F.struct(n.alias("name"), F.lit(size).cast("long").alias("size")) for n, size in ((_text("s{p_partkey}.xlsx"), 5), (_text("f{p_partkey}.gif"), 1), (_text("f{p_partkey}.jpg"), 9), (_text("t{p_partkey}.jpg"), 2), (_text("i{p_partkey}.gif"), 3), (F.lit("other.zip"), 4), (F.lit("a/b.zip"), 4), (F.lit(".x"), 4))))
+    listing = articles.select("paper", F.explode(names).alias("f")).select("paper", "f.name", "f.size")
+    return paper_files.chosen_files(listing, paper_files.named_files(articles)).select("paper", "name", "kind", "label")
+
+
+@add("""
+    SELECT o_orderkey, 200000000 + o_orderkey AS series, CASE WHEN o_custkey > 0 THEN 'GSM' || o_custkey END AS sample, 'papers/' || CASE WHEN length((o_orderkey * 7)::VARCHAR) > 3 THEN left((o_orderkey * 7)::VARCHAR, length((o_orderkey * 7)::VARCHAR) - 3) ELSE '' END || 'nnn/' || (o_orderkey * 7) AS folder,
+        'papers/doi/10.1000%2Fa%28' || o_custkey || '%29' AS doi_folder, o_orderstatus || ' is ' || o_custkey || ' is' AS abstract FROM orders
+""")
+def ids_and_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric ids of series and samples both ways, folders of papers by number and by name, and an abstract from places of words."""
+    index = F.map_from_arrays(F.array(F.lit("is"), F.col("o_orderstatus"), _text("{o_custkey}")), F.array(F.array(F.lit(1), F.lit(3)), F.array(F.lit(0)), F.array(F.lit(2))))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        keys.uid_of(_text("GSE{o_orderkey}")).alias("series"),
+        keys.accession_of_uid(F.col("o_custkey") + F.lit(300_000_000)).alias("sample"),
+        keys.paper_folder((F.col("o_orderkey") * 7).cast("string")).alias("folder"),
+        keys.paper_folder(_text("10.1000/a({o_custkey})")).alias("doi_folder"),
+        tx.text_from_places(index).alias("abstract"),
+    )

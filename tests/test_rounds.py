@@ -8,7 +8,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tessera import schema
-from tessera.operators import parts, refresh, rounds, standing
+from tessera.functions import keys
+from tessera.operators import paper_files, parts, refresh, rounds, standing
 from tessera.sources import seals
 from tessera.sources.tables import Versions
 from tessera.store import Store, in_ranges, key_ranges
@@ -194,3 +195,43 @@ def test_run_blocks_and_marked_runs(spark):
     assert got == {"SRR1": ('<RUN accession="SRR1" x="a', [28, 94], "28+94"), "SRR2": ('<RUN accession="SRR2"/>', [], "")}
     marked = spark.createDataFrame([("SRR2",), ("SRR9",), (None,)], "run string")
     assert sorted((r.accession, r.runs) for r in refresh.with_marked_runs(rows, marked).collect()) == [("X1", ["SRR2"]), ("X4", ["SRR2"])]
+
+
+ARTICLE = """<article xmlns:xlink="x"><supplementary-material id="s"><label>S1</label><caption><p>One <b>b</b>old
+ line</p></caption><media xlink:href="http://h/x/a.pdf"><caption>not it</caption></media></supplementary-material><supplementary-material xlink:href="a.pdf"><label>S2</label><caption>Two</caption></supplementary-material>
+<fig><label>Fig 1</label><graphic xlink:href="g1.tif"/><fig><label>Fig 1a</label><graphic xlink:href="g2"/></fig></fig><graphic xlink:href="alone"/><inline-graphic xlink:href="i1.gif"/><graphic xlink:href="a.pdf"/></article>"""
+
+
+def test_files_that_papers_name(spark):
+    papers = spark.createDataFrame([("P1", ARTICLE), ("P2", "<article>"), ("P3", None), ("P4", "<article/>")], "paper string, raw_text string")
+    named = paper_files.named_files(papers)
+    got = {(r.paper, r.kind, r.href): (r.label, r.caption) for r in named.collect()}
+    assert got == {("P1", "supplement", "a.pdf"): ("S1; S2", "One bold line; Two"), ("P1", "figure", "g1.tif"): ("Fig 1", None), ("P1", "figure", "g2"): ("Fig 1a", None), ("P1", "figure", "alone"): (None, None), ("P1", "inline", "i1.gif"): (None, None)}
+    listed = [("a.pdf", 1), ("g1.jpg", 5), ("g1.gif", 9), ("g2.png", 2), ("alone.jpg", 1), ("i1.gif", 1), ("i1.txt", 1), ("b.doc", 1), ("preview.jpg", 1), ("../x.zip", 1), (".y.zip", 1), ("movie.MP4", 1)]
+    listing = spark.createDataFrame([("P1", n, s) for n, s in listed] + [("P4", "z.csv", 1)], "paper string, name string, size long")
+    kept = {(r.paper, r.name): (r.kind, r.label) for r in paper_files.chosen_files(listing, named).collect()}
+    assert kept == {("P1", "a.pdf"): ("supplement", "S1; S2"), ("P1", "g1.gif"): ("figure", "Fig 1"), ("P1", "g2.png"): ("figure", "Fig 1a"), ("P1", "alone.jpg"): ("figure", None), ("P1", "b.doc"): ("supplement", None), ("P1", "i1.txt"): ("supplement", None), ("P1", "movie.MP4"): ("supplement", None), ("P4", "z.csv"): ("supplement", None)}
+    names = spark.createDataFrame([("a.MOV",), ("x/a.b",), (".a",), ("a\\b",), ("a",)], "n string")
+    assert [tuple(r) for r in names.select(paper_files.is_video(F.col("n")), paper_files.safe_name(F.col("n"))).collect()] == [(True, True), (False, False), (False, False), (False, False), (False, True)]
+
+
+def test_conditions_ids_and_folders(spark, tmp_path):
+    kinds = {f.name: f.dataType for f in schema.RECORDS.schema}
+    rows = spark.createDataFrame([("GSM1", "GEO Sample", "live"), ("GSM2", "GEO Sample", "gone"), ("GSE1", "GEO Series", "live")], "accession string, type string, status string")
+    rows = rows.select(*(F.col(c) if c in rows.columns else F.array(F.struct(F.lit("a").alias("name"), F.col("accession").alias("value"))).alias(c) if c == "fields" else F.lit(None).cast(k).alias(c) for c, k in kinds.items()))
+    versions = Versions(spark, str(tmp_path))
+    versions.write("v", {schema.RECORDS: rows})
+    versions.publish("v")
+    store = Store(spark, str(tmp_path))
+    assert [(r.accession, r.a) for r in store.where("GEO Sample", ["a"], "status = 'live' or accession = 'none'").collect()] == [("GSM1", ["GSM1"])]
+    assert store.where("GEO Sample", []).count() == 2
+    for kind, condition in (("GEO sample", None), ("GEO Sample", "true; drop table x")):
+        with pytest.raises(ValueError):
+            store.where(kind, [], condition)
+    df = spark.createDataFrame([("GSE12",), ("GSM7",), ("GPL1",)], "a string")
+    assert [r[0] for r in df.select(keys.uid_of(F.col("a"))).collect()] == [200000012, 300000007, None]
+    uids = spark.createDataFrame([(200000012,), (300000000,), (300000001,), (5,), (200000000,)], "u long")
+    assert [r[0] for r in uids.select(keys.accession_of_uid(F.col("u"))).collect()] == ["GSE12", None, "GSM1", None, None]
+    papers = {"39637862": "papers/39637nnn/39637862", "12": "papers/nnn/12", "10.1101/2024.01": "papers/doi/10.1101%2F2024.01", "10.1/a b*~(c)": "papers/doi/10.1%2Fa%20b%2A~%28c%29"}
+    got = spark.createDataFrame([(k,) for k in papers], "k string").select(keys.paper_folder(F.col("k"))).collect()
+    assert [r[0] for r in got] == list(papers.values())
