@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera import schema
 from tessera.functions import fields as fl
-from tessera.operators import build, parts, rules
-from tessera.sources import readers
+from tessera.operators import build, parts, rules, subsets
+from tessera.sources import readers, tables
 from tessera.sources.scratch import work_path
 
 from .base import Catalogue, table
@@ -168,6 +168,84 @@ def store_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, [records, states, links, titles, studies, files])
 
 
+#: Held records by type; the members of the subset of dear series; its links, and what they know.
+_SUBSET_SQL = f"""
+    {_STORE_SQL}, e AS (
+        SELECT 'SRX' || o_orderkey AS a, 'SRA experiment' AS type FROM g UNION SELECT 'SRP' || o_custkey, 'SRA study' FROM g UNION SELECT 'SRS' || o_orderkey, 'SRA sample' FROM g
+        UNION SELECT 'SRR' || o_orderkey || '0' || l_linenumber, 'SRA run' FROM g JOIN r ON l_orderkey = o_orderkey UNION SELECT 'PRJNA' || o_custkey, 'BioProject' FROM o UNION SELECT 'SAMN' || o_orderkey, 'BioSample' FROM o
+        UNION SELECT 'GSE' || o_orderkey, 'GEO Series' FROM o UNION SELECT 'GSM' || o_orderkey, 'GEO Sample' FROM o UNION SELECT 'GPL' || k, 'GEO Platform' FROM o),
+    q AS (SELECT 'GSE' || o_orderkey AS a FROM orders WHERE o_totalprice > 400000 UNION SELECT 'GSE9' || lpad(o_orderkey::VARCHAR, 9, '0') FROM o WHERE o_orderstatus = 'P'),
+    n AS (SELECT a, type FROM e WHERE a IN (FROM q) UNION SELECT e.a, e.type FROM n JOIN l ON f = n.a JOIN e ON e.a = l.t WHERE l.r IN ('sample', 'platform', 'SRA', 'run', 'study', 'SRA sample', 'BioSample', 'BioProject') AND e.type <> 'GEO Series'),
+    m AS (FROM n UNION SELECT a, type FROM e WHERE type = 'BioProject' AND a IN (SELECT f FROM l WHERE r = 'umbrella of' AND t IN (SELECT a FROM n WHERE type = 'BioProject'))),
+    pa AS (SELECT a FROM m UNION SELECT t FROM l WHERE (t LIKE 'PMID:%' OR t LIKE 'DOI:%') AND f IN (SELECT a FROM m WHERE type IN ('GEO Series', 'BioProject'))),
+    kl AS (SELECT DISTINCT f, t, r, s FROM l WHERE f IN (FROM pa) OR t IN (FROM pa)),
+    ab AS (SELECT a FROM m UNION FROM q UNION SELECT f FROM kl UNION SELECT t FROM kl WHERE t NOT LIKE 'PMID:%' AND t NOT LIKE 'DOI:%'),
+    kn AS (SELECT 'SRX' || o_orderkey AS a FROM o WHERE 'SRX' || o_orderkey IN (FROM ab) UNION ALL SELECT 'SRX9' || lpad(o_orderkey::VARCHAR, 9, '0') FROM o WHERE o_orderstatus = 'P' AND 'SRX9' || lpad(o_orderkey::VARCHAR, 9, '0') IN (FROM ab))
+"""
+
+
+@add(f"""
+    WITH RECURSIVE {_SUBSET_SQL}
+    SELECT 'records ' || type AS part, count(*)::BIGINT AS n FROM m GROUP BY type UNION ALL SELECT 'holdings', count(*)::BIGINT FROM m UNION ALL SELECT 'links ' || r || ' by ' || s, count(*)::BIGINT FROM kl GROUP BY r, s
+    UNION ALL SELECT 'known', count(*)::BIGINT FROM kn UNION ALL SELECT 'files', (2 * count(*))::BIGINT FROM m WHERE type = 'GEO Series'
+    UNION ALL SELECT 'gaps', count(*)::BIGINT FROM q WHERE a NOT IN (SELECT a FROM e) UNION ALL SELECT 'not held', count(*)::BIGINT FROM q WHERE a NOT IN (SELECT a FROM m)
+    UNION ALL SELECT 'notes', count(*)::BIGINT FROM o WHERE NOT whole AND 'SRX' || o_orderkey IN (SELECT a FROM kn)
+    UNION ALL SELECT 'outside', count(*)::BIGINT FROM (SELECT DISTINCT f, t FROM kl WHERE r = 'SuperSeries of' AND (f IN (FROM q)) <> (t IN (FROM q)))
+""")
+def store_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store cut to the series of dear orders and some that are not held: what they lead to, all rows about it, and what stays outside; counted by table."""
+    _, store = _built(spark, sf_dir)
+    dear = table(spark, sf_dir, "orders").filter("o_totalprice > 400000").select(_text(" gse{o_orderkey}").alias("key"))
+    absent = _orders(spark, sf_dir).filter("o_orderstatus = 'P'").select(_text("GSE9{o9}").alias("key"))
+    made = subsets.subset(store, dear.union(absent), work_path(spark, "subset"))
+    part = made.store
+    counted = [
+        (part.table(schema.RECORDS), F.concat_ws(" ", F.lit("records"), "type")),
+        (part.table(schema.HOLDINGS), F.lit("holdings")),
+        (part.table(schema.LINKS_BY_TO), F.concat_ws(" ", F.lit("links"), "relation", F.lit("by"), "source")),
+        (part.table(schema.KNOWN), F.lit("known")),
+        (part.table(schema.SUPPLEMENTARY), F.lit("files")),
+        (part.table(schema.GAPS), F.lit("gaps")),
+        (made.not_held, F.lit("not held")),
+        (part.table(schema.NOTES), F.lit("notes")),
+        (made.outside, F.lit("outside")),
+    ]
+    found = reduce(DataFrame.union, [rows.groupBy(name.alias("part")).agg(F.count("*").cast("long").alias("n")) for rows, name in counted])
+    # tables without a row still count
+    named = spark.createDataFrame([(p,) for p in ("holdings", "known", "files", "gaps", "not held", "notes", "outside")], "part string").select("part", F.lit(0).cast("long").alias("n"))
+    return found.union(named).groupBy("part").agg(F.sum("n").alias("n"))
+
+
+@add(f"""
+    WITH {_STORE_SQL} SELECT 'target' AS part, 'GSE' || o_orderkey AS accession FROM o WHERE o_orderpriority NOT LIKE '3%' UNION ALL SELECT 'target', 'GSE9' || lpad(o_orderkey::VARCHAR, 9, '0') FROM o WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'no package', 'SRX' || o_orderkey FROM o WHERE NOT whole AND o_orderpriority LIKE '4%'
+""")
+def noted_and_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a version notes as saved without a package, and the series that its gaps were counted from."""
+    _, store = _built(spark, sf_dir)
+    wanted = build.build_targets(store, _sources(spark, sf_dir).series)
+    return wanted.select(F.lit("target").alias("part"), "accession").union(store.noted("no SRA package").select(F.lit("no package"), "accession"))
+
+
+@add("""
+    SELECT 'as declared' AS written, NULL AS fault, count(*)::BIGINT AS rows FROM orders UNION ALL SELECT 'by default', 'compressed by SNAPPY, declared ZSTD', count(*)::BIGINT FROM orders
+    UNION ALL SELECT 'by default', 'dictionary in content_hash, raw_text, declared plain', count(*)::BIGINT FROM orders UNION ALL SELECT 'by default', 'row groups of more than 2048 rows', count(*)::BIGINT FROM orders HAVING count(*) > 2048
+""")
+def layout_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Footers of a table written as declared, and of one by a writer's defaults in one file: codec, dictionaries and row groups."""
+    root, declared = work_path(spark, "layout"), schema.RECORDS
+    none = F.lit(None).cast("date")
+    rows = table(spark, sf_dir, "orders").select(_text("GSM{o_orderkey}").alias("accession"), F.lit("GEO Sample").alias("type"), F.col("o_orderstatus").alias("status"), none.alias("submitted"), none.alias("updated"), none.alias("published"), F.lit(None).cast(schema.FIELDS).alias("fields"), F.col("o_orderpriority").alias("raw_text"), F.col("o_orderstatus").alias("content_hash"), F.lit(_DAY).cast("date").alias("snapshot_date"))
+    tables.write_table(rows, declared, f"{root}/declared")
+    rows.coalesce(1).write.option("compression", "snappy").parquet(f"{root}/plain")
+    out = []
+    for name, path in (("as declared", "declared"), ("by default", "plain")):
+        held = tables.footers(spark, f"{root}/{path}").agg(F.sum(F.aggregate("rows_in_groups", F.lit(0).cast("long"), lambda a, n: a + n)).alias("rows"))
+        faults = tables.footer_faults(spark, declared, f"{root}/{path}").select("fault").distinct()
+        out.append(held.join(faults, F.lit(True), "left").select(F.lit(name).alias("written"), "fault", "rows"))
+    return reduce(DataFrame.union, out)
+
+
 @add(f"WITH {_STORE_SQL}, h AS ({_HELD_SQL}) SELECT 'v1' AS version, 0::BIGINT AS faults, sum(n)::BIGINT AS records FROM h")
 def build_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record of a version held against its stored hash and the holdings."""
