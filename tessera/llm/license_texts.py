@@ -41,6 +41,12 @@ _NAMES = {
     "EPL-1.0": "Eclipse Public License, version 1.0", "EPL-2.0": "Eclipse Public License, version 2.0", "BSL-1.0": "Boost Software License, Version 1.0", "Artistic-2.0": "Artistic License, version 2.0",
     "EUPL-1.2": "European Union Public License, version 1.2", **{k: f"GNU {n}, version {v}" for k, (n, v) in _GNU.items()},
 }
+# Families that are named without a version, and the forms of a one-line notice.
+_UNVERSIONED = {"BSD": "BSD License"}
+_FORMS = {
+    "released": "Released under the", "licensed": "Licensed under the", "work": "This work is licensed under the", "project": "This project is licensed under the",
+    "distributed": "Distributed under the", "terms": "Distributed under the terms of the",
+}
 _RIGHTS = {"BY": "Attribution", "SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
 _COMMONS = {"3.0": "3.0 Unported", "4.0": "4.0 International"}
 
@@ -51,26 +57,34 @@ def templates() -> dict[str, str]:
     for key, (name, version) in _GNU.items():
         thing = "library" if key.startswith("LGPL") else "program"
         out[key] = f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
-    for key, name in _NAMES.items():
-        out[f"{key}-notice"] = f"{'This work is licensed' if key in _GNU else 'Licensed' if key.startswith('Apache') else 'Released'} under the {name}."
-        for form in ("Released under the", "Licensed under the", "This work is licensed under the", "This project is licensed under the", "distributed under the terms of the"):
-            if not out[f"{key}-notice"].startswith(form):
-                out[f"{key}-{form.split()[1 if form.startswith('This') else 0].lower()}-notice"] = f"{form} {name}."
+        terms = f"under the terms of the GNU {name} version {version} as published by the Free Software Foundation."
+        short = key.split("-")[0]
+        out[f"{key}-only-notice"] = f"This {thing} is free software; you can redistribute it and/or modify it {terms}"
+        out[f"{key}-terms-only-notice"] = terms
+        for said in ("Licensed", "Released"):
+            out[f"{key}-{said.lower()}-joined-notice"] = f"{said} under the {short}v{version}."
+            out[f"{key}-{said.lower()}-apart-notice"] = f"{said} under the GNU {short} v{version}."
+    for key, name in (_NAMES | _UNVERSIONED).items():
+        first = "work" if key in _GNU else "licensed" if key.startswith("Apache") else "released"
+        for form, said in _FORMS.items():
+            out[f"{key}-notice" if form == first else f"{key}-{form}-notice"] = f"{said} {name}."
+    for key in _NAMES:
         out[f"{key}-id"] = f"SPDX-License-Identifier: {key}"
     for parts in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
         for version, said in _COMMONS.items():
             name = "-".join(_RIGHTS[p] for p in parts.split("-"))
             statement, short = f"This work is licensed under a Creative Commons {name} {said} License.", f"Licensed under CC {parts} {version}."
             key = f"CC-{parts}-{version}"
-            # the plainest form carries the bare identifier
-            out |= {key: statement, f"{key}-short-notice": short} if key != "CC-BY-NC-4.0" else {key: short, f"{key}-notice": statement}
+            out |= {key: statement, f"{key}-short-notice": short}
             out[f"{key}-id"] = f"SPDX-License-Identifier: {key}"
     return out
 
 
+#: Ends of template names that say which text of a license a template is, longest first.
+_SORTS = sorted([*(f"-{form}-notice" for form in _FORMS), *(f"-{said}-{how}-notice" for said in ("licensed", "released") for how in ("joined", "apart")), "-terms-only-notice", "-only-notice", "-short-notice", "-notice", "-text", "-id"], key=len, reverse=True)
+
+
 def license_of(name: str) -> str:
-    """Identifier of the license that a template stands for."""
-    for tail in ("-work-notice", "-project-notice", "-released-notice", "-licensed-notice", "-distributed-notice", "-short-notice", "-notice", "-text", "-id"):
-        if name.endswith(tail):
-            return name.removesuffix(tail)
-    return name
+    """Identifier of the license that a template stands for; a family's, without a version, where its text names none."""
+    tail = next((t for t in _SORTS if name.endswith(t)), "")
+    return name.removesuffix(tail)

@@ -192,7 +192,9 @@ def templates_from(table: DataFrame, *, name_col: str = "name", text_col: str =
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """Rows of docs (struct row) with matches: array of (license, coverage, matched_words, start, end) in code points.
+    """Rows of docs (struct row) with matches: array of (license, template, coverage, matched_words, start, end) in code points.
+
+    license is the identifier (of a family, without a version, where the text names none), template the text of it that matched.
 
     Whole texts are scanned; null and empty texts have no matches. Copies of one template never
     overlap; of overlapping matches of several the one with most matched words stands, on ties the
@@ -223,14 +225,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, text_col:
                 for name, coverage, score, first, last in _matches(w, d, held.value, places):
                     s = int(w.starts[w.first[d] + first]) + base - int(offsets[i + d])
                     e = int(w.ends[w.first[d] + last - 1]) + base - int(offsets[i + d])
-                    out[i + d].append({"license": name, "coverage": coverage, "matched_words": score, "start": int(chars[s]) - 1, "end": int(chars[e - 1])})
-        kind = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("matched_words", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+                    out[i + d].append({"license": license_of(name), "template": name, "coverage": coverage, "matched_words": score, "start": int(chars[s]) - 1, "end": int(chars[e - 1])})
+        kind = pa.struct([("license", pa.string()), ("template", pa.string()), ("coverage", pa.float64()), ("matched_words", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
         return [pa.array(out, pa.list_(kind))]
 
-    return mapped(docs, run, "matches array<struct<license: string, coverage: double, matched_words: long, start: long, end: long>>", list(docs.columns) if carry is None else carry)
+    return mapped(docs, run, "matches array<struct<license: string, template: string, coverage: double, matched_words: long, start: long, end: long>>", list(docs.columns) if carry is None else carry)
 
 
 def license_spans(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """One row per match: the id, license, coverage, matched_words, start, end."""
+    """One row per match: the id, license, template, coverage, matched_words, start, end."""
     found = scan(docs, carry=[id_col], **options)
     return found.select(F.col("row").getField(id_col).alias("doc_id"), F.explode("matches").alias("m")).select("doc_id", "m.*")

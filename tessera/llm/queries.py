@@ -21,39 +21,44 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
-def _maintained(spark: SparkSession, docs: DataFrame, counts: DataFrame) -> DataFrame:
+def _maintained(spark: SparkSession, counts: DataFrame) -> DataFrame:
     """Totals after a load, a revision, deletes, retries of them and compactions.
 
     Loaded are the counts of all documents; documents without a language are then revised to "und",
-    and all but the first of equal texts are deleted. counts has doc_id and a rollup's columns.
+    and of documents of equal text all but one are deleted: the one of least id stays, one without an id
+    last, then by source and language, absent ones last; of rows that are equal throughout one stays.
+    counts has doc_id, hash of the text, and a rollup's columns.
     """
     rollup = rollups.TokenRollup(spark, work_path(spark, "rollup"))
     counts = written(counts, "counts")
     nameless = counts.filter("lang is null")
     named = counts.withColumn("lang", F.coalesce("lang", F.lit("und")))
-    text = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    first = docs.groupBy(text.alias("hash")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    least = F.struct(*(x for c in ("doc_id", "source", "lang") for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))), "n_tokens", "n_chars")
+    first = named.groupBy("hash", "tokenizer").agg(F.min(least).alias("c")).select("hash", "tokenizer", "c.*")
     rollup.commit("load", rollups.inserts(counts))
     rollup.commit("named", rollups.revisions(nameless, nameless.withColumn("lang", F.lit("und"))))
     rollup.compact()
     rollup.commit("load", rollups.inserts(counts))  # a retried job: committed already, nothing is added
-    rollup.commit("copies", rollups.deletes(named.join(first, "doc_id", "left_anti")))
+    rollup.commit("copies", rollups.revisions(named, first, "hash"))
     rollup.compact()
     return rollup.totals()
 
 
+def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the hash of their text; a null text is an empty one."""
+    return table(spark, sf_dir, "documents").withColumn("hash", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct documents, tokens and characters by source, language and tokenizer version."""
-    docs = table(spark, sf_dir, "documents")
-    return _maintained(spark, docs, rollups.token_counts(docs, rollups.TOKENIZERS))
+    return _maintained(spark, rollups.token_counts(_hashed(spark, sf_dir), rollups.TOKENIZERS, carry=("doc_id", "hash", "source", "lang")))
 
 
 def op2_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rollup over plain words, which SQL can check."""
-    docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
-    counts = docs.select("doc_id", "source", "lang", F.lit("words-1").alias("tokenizer"), packing.word_count(text).alias("n_tokens"), F.length(text).cast("long").alias("n_chars"))
-    return _maintained(spark, docs, counts)
+    counts = _hashed(spark, sf_dir).select("doc_id", "hash", "source", "lang", F.lit("words-1").alias("tokenizer"), packing.word_count(text).alias("n_tokens"), F.length(text).cast("long").alias("n_chars"))
+    return _maintained(spark, counts)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +170,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_word_counts": r"""
         SELECT source, coalesce(lang, 'und') AS lang, 'words-1' AS tokenizer, count(*)::BIGINT AS n_docs,
                sum(len(regexp_extract_all(coalesce(text, ''), '\S+')))::BIGINT AS n_tokens, sum(length(coalesce(text, '')))::BIGINT AS n_chars
-        FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY coalesce(text, '')) GROUP BY ALL
+        FROM (FROM documents QUALIFY row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id NULLS LAST, source NULLS LAST, coalesce(lang, 'und')) = 1) GROUP BY ALL
     """,
     "op4_fingerprints": rf"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),

@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from tessera.llm import licenses
+from tessera.llm.license_texts import license_of
 from tests.llm.cases import documents
 
 
@@ -14,7 +15,7 @@ def test_whole_changed_and_missing_notices(spark):
     got = {}
     for r in licenses.license_spans(docs).distinct().collect():
         got.setdefault(r.doc_id, []).append((r.license, r.coverage, rows[r.doc_id][r.start : r.end]))
-    assert got[2] == [("MIT-notice", 1.0, "Released under the MIT License")]
+    assert got[2] == [("MIT", 1.0, "Released under the MIT License")]
     assert got[3][0][0] == "Apache-2.0" and got[3][0][1] == 1.0
     assert got[4][0][0] == "Apache-2.0" and 0.8 <= got[4][0][1] < 1.0
     assert len(got[6]) == 2000 and got[7][0][0] == "CC-BY-NC-4.0"
@@ -42,8 +43,8 @@ def test_alignment_is_the_longest_common_subsequence():
 
 def test_every_whole_template_is_found(spark):
     rows = [f"before {t} after" for t in licenses.TEMPLATES.values()]
-    got = {(r.doc_id, r.license) for r in licenses.license_spans(documents(spark, rows)).collect()}
-    assert {(k, n) for k, n in enumerate(licenses.TEMPLATES)} <= got
+    got = {(r.doc_id, r.template, r.license) for r in licenses.license_spans(documents(spark, rows)).collect()}
+    assert {(k, n, license_of(n)) for k, n in enumerate(licenses.TEMPLATES)} <= got
 
 
 def names_in(spark, rows):
@@ -67,15 +68,26 @@ def test_kinds_and_versions_are_told_apart(spark):
         t["GPL-3.0"].replace("General", "Affero General"): "AGPL-3.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
         "This work is licensed under a Creative Commons Attribution 3.0 Unported License.": "CC-BY-3.0",
-        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0-short-notice",
-        "Released under the ISC License.": "ISC-notice",
-        t["BSD-2-Clause-text"]: "BSD-2-Clause-text",
-        t["BSD-3-Clause-text"].replace("copyright holder nor", "Example Project nor"): "BSD-3-Clause-text",
-        "SPDX-License-Identifier: LGPL-2.1": "LGPL-2.1-id",
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "Released under the ISC License.": "ISC",
+        t["BSD-2-Clause-text"]: "BSD-2-Clause",
+        t["BSD-3-Clause-text"].replace("copyright holder nor", "Example Project nor"): "BSD-3-Clause",
+        "SPDX-License-Identifier: LGPL-2.1": "LGPL-2.1",
+    }
+    rows |= {
+        "This file may be copied under the terms of the GNU General Public License version 2 as published by the Free Software Foundation": "GPL-2.0",
+        t["GPL-2.0-only-notice"].replace("version 2", "version 3"): "GPL-3.0",
+        "It is distributed under the BSD license, see the file": "BSD",
+        "distributed under the BSD 2-Clause license": "BSD-2-Clause",
+        "released under the BSD 5-Clause License": "BSD",  # of the family, whichever it is
+        "Licensed under the GPLv3, as is": "GPL-3.0",
+        "released under the GNU LGPL v2.1": "LGPL-2.1",
+        "Distributed under the MIT License.": "MIT",
+        "distributed under the terms of the Apache License, version 2.0": "Apache-2.0",
     }
     assert names_in(spark, list(rows)) == [[n] for n in rows.values()]
-    unknown = ["Released under the Foo License.", "This work is licensed under the GNU General Public License, version 9.", "Licensed under CC XY-NC 4.0.", t["GPL-3.0"].replace("version 3", "version 7")]
-    assert names_in(spark, unknown) == [[]] * 4
+    unknown = ["Released under the Foo License.", "This work is licensed under the GNU General Public License, version 9.", "Licensed under CC XY-NC 4.0.", t["GPL-3.0"].replace("version 3", "version 7"), "Licensed under the GPLv7.", t["GPL-2.0-only-notice"].replace("version 2", "version 8")]
+    assert names_in(spark, unknown) == [[]] * len(unknown)
 
 
 def test_planted_notices_match_brute_force(spark):
@@ -100,7 +112,7 @@ def test_planted_notices_match_brute_force(spark):
         want.append(spans)
     got = [[] for _ in rows]
     for r in licenses.license_spans(documents(spark, rows)).distinct().collect():
-        got[r.doc_id].append((r.license, r.start, r.end))
+        got[r.doc_id].append((r.template, r.start, r.end))
     assert [sorted(g, key=lambda m: m[1]) for g in got] == want
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import packing, rollups
+from tessera.llm.queries import op2_word_counts
 from tests.llm.cases import documents, texts
 
 
@@ -88,6 +89,19 @@ def test_token_counts_match_the_tokenizer(spark):
     assert all(e.decode(e.encode_ordinary(t or "")) == (t or "") for t in texts())
 
 
+def test_distinct_documents_without_ids_and_with_repeated_ones(spark, tmp_path):
+    """Of equal texts one document stays, whatever its id; rows of other texts all stay."""
+    rows = [
+        (1, "a b", "s", "en", "x"), (1, "a b", "s", "en", "x"), (2, "a b", "t", "de", "x"), (None, "a b", "s", "fr", "x"), (None, "c", "s", None, "x"), (None, "c", "r", None, "x"),
+        (3, "d e f", "s", "en", "x"), (3, "g", "s", "en", "x"), (None, None, None, None, "x"), (None, "", "s", None, "x"), (4, "", "u", None, "x"),
+    ]
+    (tmp_path / "sf").mkdir()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, hash string")
+    docs.repartition(3).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    got = {(r.source, r.lang): (r.n_docs, r.n_tokens, r.n_chars) for r in op2_word_counts(spark, str(tmp_path / "sf")).collect()}
+    assert got == {("s", "en"): (3, 6, 9), ("r", "und"): (1, 1, 1), ("u", "und"): (1, 0, 0)}
+
+
 def test_a_batch_committed_during_a_compaction_is_not_lost(spark, tmp_path, monkeypatch):
     row = lambda k: counts(spark, [(k, "s", "en", "v1", k, 1)])
     rollup = rollups.TokenRollup(spark, str(tmp_path / "r"))
