@@ -15,7 +15,7 @@ from tessera.sources.tables import Versions
 from tessera.store import Store
 
 from .base import Catalogue, table
-from .build_queries import _packages, _text
+from .build_queries import _packages, _tasks, _text
 
 CATALOGUE = Catalogue()
 add = CATALOGUE.add
@@ -198,10 +198,10 @@ def marked_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def run_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of packages with the lengths of their reads by index, rounded half to even."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").cast("double").alias("q"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").repartition(_tasks(spark), "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").cast("double").alias("q"))
     reads = F.when(F.col("q") > 25, F.concat(F.lit('<Statistics><Read index="1" average="'), (F.col("q") + 0.5).cast("string"), F.lit('"/><Read average="7"/><Read index="0" average="'), F.col("q").cast("string"), F.lit('"/></Statistics>'))).otherwise("")
     runs = lines.groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.concat(_text('<RUN accession="SRR{l_orderkey}0{l_linenumber}">'), reads, F.lit("</RUN>"))), "").alias("runs"))
-    known = runs.join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    known = runs.join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey")).repartition(_tasks(spark), "l_orderkey"), "l_orderkey", "left_semi")
     texts = known.select(_text("SRX{l_orderkey}").alias("accession"), F.concat(F.lit("<P>"), "runs", F.lit("</P>")).alias("raw_text"))
     return parts.run_blocks(texts).select("accession", "structure", F.size("lengths").cast("long").alias("n_reads"))
 
