@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from xml.parsers import expat
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .parts import Shape, parsed_xml
+from .parts import Part, Shape, xml_parts
 
 #: Containers of files, what is said of them, and the files themselves; any element in a supplement may name one.
 ARTICLE = Shape(wanted=("fig", "table-wrap", "supplementary-material", "label", "caption", "graphic", "inline-graphic"), plain=("label", "caption"), bare=("label", "caption"))
@@ -12,6 +17,7 @@ ARTICLE = Shape(wanted=("fig", "table-wrap", "supplementary-material", "label",
 IMAGES = ("jpg", "jpeg", "gif", "png", "tif", "tiff", "bmp", "eps", "svg", "webp")
 VIDEOS = ("mp4", "mov", "avi", "wmv", "mpg", "mpeg", "m4v", "webm", "mkv", "flv")
 _HREF = "@xlink:href"
+_SPACE = re.compile(r"[ \t\n\x0B\f\r]+")
 
 
 def stem(name: Column) -> Column:
@@ -40,52 +46,74 @@ def named_files(papers: DataFrame) -> DataFrame:
     before an outer one's. A supplement named in several containers has all of their labels and captions, in order. A file that
     is a supplement is nothing else, and a figure no inline image. A text that is no XML names none.
     """
-    rows = parsed_xml(papers.select(F.col("paper").alias("accession"), "raw_text"), ARTICLE)
-    hrefs = F.transform(F.filter("fields", lambda f: f["name"].endswith(_HREF)), lambda f: F.substring_index(f["value"], "/", -1))
-    box = F.col("tag").isin("fig", "table-wrap", "supplementary-material")
-    # parts are in document order: a label or caption that stands in a container follows it, before the next of its kind
-    lines = F.array_sort(F.collect_list(F.struct("n", "tag", "within", F.trim(F.regexp_replace("raw_text", r"\s+", " ")).alias("text"), F.when(box | F.col("tag").isin("graphic", "inline-graphic"), hrefs).alias("hrefs"))))
-    each = rows.filter("fault is null").groupBy(F.col("origin").alias("paper")).agg(lines.alias("parts"))
-
-    def said(parts: Column, p: Column, what: str) -> Column:
-        """The last label or caption right in container p: before the next container of the same tag."""
-        after = F.filter(parts, lambda q: (q["n"] > p["n"]) & ((q["tag"] == p["tag"]) | ((q["tag"] == what) & (q["within"] == p["tag"]))))
-        until = F.aggregate(after, F.struct(F.lit(False).alias("end"), F.lit(None).cast("string").alias("text")), lambda acc, q: F.struct((acc["end"] | (q["tag"] == p["tag"])).alias("end"), F.when(acc["end"] | (q["tag"] == p["tag"]), acc["text"]).otherwise(F.coalesce(F.nullif(q["text"], F.lit("")), acc["text"])).alias("text")))
-        return until["text"]
-
-    boxes = each.select("paper", "parts", F.explode(F.filter("parts", lambda q: q["tag"].isin("fig", "table-wrap", "supplementary-material"))).alias("p"))
-    found = boxes.select("paper", F.col("p.n").alias("n"), (F.col("p.tag") == "supplementary-material").alias("extra"), said(F.col("parts"), F.col("p"), "label").alias("label"), said(F.col("parts"), F.col("p"), "caption").alias("caption"), F.explode("p.hrefs").alias("href"))
-    joined = lambda c: F.nullif(F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("n", F.col(c).alias("t"))))), lambda s: s["t"])), "; "), F.lit("")).alias(c)
-    extra = found.filter("extra").groupBy("paper", "href").agg(joined("label"), joined("caption"))
-    inner = found.filter("not extra").groupBy("paper", "href").agg(F.max_by(F.struct("label", "caption"), "n").alias("x"))
-    images = lambda tag: each.select("paper", F.explode(F.array_distinct(F.flatten(F.transform(F.filter("parts", lambda q: q["tag"] == tag), lambda q: q["hrefs"])))).alias("href"))
-    figures = images("graphic").join(extra.select("paper", "href"), ["paper", "href"], "left_anti").join(inner, ["paper", "href"], "left")
-    inline = images("inline-graphic").join(extra.select("paper", "href"), ["paper", "href"], "left_anti")
+    rows = papers.select(F.col("paper").cast("string").alias("paper"), F.col("raw_text").cast("string").alias("raw_text")).mapInArrow(_named_in, "paper string, n int, kind string, href string, label string, caption string")
+    kind = F.col("kind")
+    joined = lambda c: F.nullif(F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when((kind == "box") & F.col(c).isNotNull(), F.struct("n", F.col(c).alias("t"))))), lambda s: s["t"])), "; "), F.lit("")).alias(c)
+    inner = F.max_by(F.when(kind == "inner", F.struct("label", "caption")), F.when(kind == "inner", F.col("n"))).alias("x")
+    each = rows.groupBy("paper", "href").agg(joined("label"), joined("caption"), inner, F.collect_set("kind").alias("kinds"))
     none = F.lit(None).cast("string")
-    out = extra.select("paper", F.lit("supplement").alias("kind"), "href", "label", "caption")
-    out = out.unionByName(figures.select("paper", F.lit("figure").alias("kind"), "href", F.col("x.label").alias("label"), F.col("x.caption").alias("caption")))
-    return out.unionByName(inline.select("paper", F.lit("inline").alias("kind"), "href", none.alias("label"), none.alias("caption")))
+    has = lambda k: F.array_contains("kinds", k)
+    named = lambda k, label, caption: F.struct(F.lit(k).alias("kind"), label.alias("label"), caption.alias("caption"))
+    shown = F.filter(F.array(F.when(has("graphic"), named("figure", F.col("x.label"), F.col("x.caption"))), F.when(has("inline-graphic"), named("inline", none, none))), lambda m: m.isNotNull())
+    meant = F.when(has("box"), F.array(named("supplement", F.col("label"), F.col("caption")))).otherwise(shown)
+    return each.select("paper", "href", F.explode(meant).alias("m")).select("paper", "m.kind", "href", "m.label", "m.caption")
+
+
+_NAMED = pa.schema([("paper", pa.string()), ("n", pa.int32()), ("kind", pa.string()), ("href", pa.string()), ("label", pa.string()), ("caption", pa.string())])
+_BOXES = ("fig", "table-wrap", "supplementary-material")
+
+
+def _names_of(text: str | None) -> Iterator[tuple[int, str, str, str | None, str | None]]:
+    """(n, kind, href, label, caption) of what a text names: by a supplement (box), by another container (inner), and by images."""
+    try:
+        found = xml_parts(text, ARTICLE) if text else []
+    except expat.ExpatError:
+        return
+    # a label or caption that stands right in a container follows it, before the next container of its tag; the last one counts
+    said: dict[str, dict[str, str]] = {}
+    at: list[tuple[int, Part, dict[str, str]]] = []
+    for n, part in enumerate(found):
+        if part.tag in _BOXES:
+            said[part.tag] = {}
+        elif part.tag in ("label", "caption") and part.within in said:
+            if plain := _SPACE.sub(" ", part.text or "").strip(" "):
+                said[part.within][part.tag] = plain
+        if part.tag in _BOXES or part.tag in ("graphic", "inline-graphic"):
+            at.append((n, part, said.get(part.tag, {})))
+    for n, part, words in at:
+        kind = "box" if part.tag == "supplementary-material" else "inner" if part.tag in _BOXES else part.tag
+        for name, value in part.fields:
+            if name.endswith(_HREF):
+                yield n, kind, value.rsplit("/", 1)[-1], words.get("label"), words.get("caption")
+
+
+def _named_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(paper, *row) for paper, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for row in _names_of(text)]
+        columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _NAMED, strict=True)], schema=_NAMED)
 
 
 def chosen_files(listing: DataFrame, named: DataFrame) -> DataFrame:
     """(paper, name, kind, label, caption) of the listed files (paper, name, size) to keep: supplements, and of each figure's images the largest.
 
     A file is meant by its whole name or its name without ending. It is a supplement if the text names it so, or if it is
-    neither an inline image nor an image at all; unsafe names are left out. Two equi-joins, by name and by stem.
+    neither an inline image nor an image at all; unsafe names are left out. One equi-join, by name or stem.
     """
-    files = listing.filter(safe_name(F.col("name"))).select("paper", "name", "size", stem(F.col("name")).alias("stem"))
-    said = named.select("paper", "kind", "href", "label", "caption")
-    whole = files.join(said.withColumnRenamed("href", "name"), ["paper", "name"]).withColumn("rank", F.lit(0)).withColumn("href", F.col("name"))
-    part = files.join(said.withColumn("stem", F.col("href")), ["paper", "stem"]).withColumn("rank", F.lit(1))
-    figures = files.join(said.filter("kind = 'figure'").select("paper", "kind", "href", "label", "caption", stem(F.col("href")).alias("stem")), ["paper", "stem"]).withColumn("rank", F.lit(2))
-    order = ["paper", "name", "size", "kind", "href", "label", "caption", "rank"]
+    files = listing.filter(safe_name(F.col("name"))).groupBy("paper", "name").agg(F.max("size").alias("size")).withColumn("stem", stem(F.col("name")))
+    way = lambda form, key, rank: F.struct(F.lit(form).alias("form"), key.alias("key"), F.lit(rank).alias("rank"))
+    ways = F.array(way("whole", F.col("name"), 0), way("whole", F.col("stem"), 1), way("stem", F.col("stem"), 2))
+    sought = files.select("paper", "name", "size", F.explode(ways).alias("w")).select("paper", "name", "size", "w.*")
+    # a figure is also meant by its own name without ending
+    ends = F.concat(F.array(F.struct(F.lit("whole").alias("form"), F.col("href").alias("key"))), F.when(F.col("kind") == "figure", F.array(F.struct(F.lit("stem").alias("form"), stem(F.col("href")).alias("key")))).otherwise(F.array()))
+    said = named.select("paper", "kind", "href", "label", "caption", F.explode(ends).alias("e")).select("paper", "kind", "href", "label", "caption", "e.*")
+    found = sought.join(said, ["paper", "form", "key"], "left")
     # what is a supplement by name is nothing else; a file has one meaning of each kind
-    means = whole.select(order).unionByName(part.select(order)).unionByName(figures.select(order)).groupBy("paper", "name", "size", "kind").agg(F.min_by(F.struct("href", "label", "caption"), "rank").alias("m")).select("paper", "name", "size", "kind", "m.*")
-    extra = means.filter("kind = 'supplement'")
-    image = ending(F.col("name")).isin(*IMAGES)
-    shown = means.filter("kind = 'figure'").filter(image).join(extra.select("paper", "name"), ["paper", "name"], "left_anti")
-    best = shown.groupBy("paper", "href").agg(F.max_by(F.struct("name", "label", "caption"), F.struct("size", "name")).alias("b")).select("paper", F.col("b.name").alias("name"), F.lit("figure").alias("kind"), "b.label", "b.caption")
-    known = means.filter("kind = 'inline'").select("paper", "name").union(extra.select("paper", "name")).union(best.select("paper", "name"))
-    none = F.lit(None).cast("string")
-    rest = files.filter(~image).join(known, ["paper", "name"], "left_anti").select("paper", "name", F.lit("supplement").alias("kind"), none.alias("label"), none.alias("caption"))
-    return extra.select("paper", "name", "kind", "label", "caption").unionByName(best).unionByName(rest).dropDuplicates(["paper", "name"])
+    of = lambda kind: F.min_by(F.when(F.col("kind") == kind, F.struct("href", "label", "caption")), F.when(F.col("kind") == kind, F.struct("rank", "href"))).alias(kind)
+    each = found.groupBy("paper", "name").agg(F.max("size").alias("size"), of("supplement"), of("figure"), of("inline"))
+    image, none = ending(F.col("name")).isin(*IMAGES), F.lit(None).cast("string")
+    extra, figure = F.col("supplement").isNotNull(), F.col("supplement").isNull() & image & F.col("figure").isNotNull()
+    rest = ~image & F.col("supplement").isNull() & F.col("inline").isNull()
+    meant = each.filter(extra | figure | rest).select("paper", "name", "size", F.when(figure, "figure").otherwise("supplement").alias("kind"), F.when(figure, F.col("figure.href")).otherwise(F.col("name")).alias("of"), F.when(extra, F.col("supplement.label")).when(figure, F.col("figure.label")).otherwise(none).alias("label"), F.when(extra, F.col("supplement.caption")).when(figure, F.col("figure.caption")).otherwise(none).alias("caption"))
+    best = meant.groupBy("paper", "kind", "of").agg(F.max_by(F.struct("name", "label", "caption"), F.struct("size", "name")).alias("b"))
+    return best.select("paper", "b.name", "kind", "b.label", "b.caption")

@@ -230,7 +230,7 @@ def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<supplementary-material><label>S1</label><caption><title>Size  {p_size}</title></caption><media xlink:href="s{p_partkey}.xlsx"/></supplementary-material><supplementary-material xlink:href="s{p_partkey}.xlsx"><label>S2</label></supplementary-material>',
         '<table-wrap><label>Table 1</label><alternatives><graphic xlink:href="t{p_partkey}.jpg"/></alternatives></table-wrap></article>',
     )
-    return table(spark, sf_dir, "part").select(_text("P{p_partkey}").alias("paper"), "p_partkey", "p_size", F.when(F.col("p_size") > 48, F.substring_index(raw, "</article>", 1)).otherwise(raw).alias("raw_text"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size").repartition(_tasks(spark), "p_partkey").select(_text("P{p_partkey}").alias("paper"), "p_partkey", "p_size", F.when(F.col("p_size") > 48, F.substring_index(raw, "</article>", 1)).otherwise(raw).alias("raw_text"))
 
 
 @add("""

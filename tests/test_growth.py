@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import schema, store
-from tessera.operators import parts, rules
+from tessera.operators import paper_files, parts, rules
 from tessera.sources.tables import write_table
 
 
@@ -56,3 +56,11 @@ def test_a_short_table_of_keys_goes_to_the_records(spark, monkeypatch):
     monkeypatch.setattr(store, "MANY_KEYS", 3)
     few, plain = store.short_list(keys)
     assert few is None and "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
+
+
+def test_papers_are_read_once_whatever_is_chosen(spark):
+    papers = spark.createDataFrame([("P", "<a xmlns:xlink='x'><fig><label>F</label><graphic xlink:href='f'/></fig><inline-graphic xlink:href='i.gif'/></a>")], "paper string, raw_text string")
+    listing = spark.createDataFrame([("P", "f.gif", 1), ("P", "f.jpg", 2), ("P", "i.gif", 3), ("P", "z.zip", 4)], "paper string, name string, size long")
+    chosen = paper_files.chosen_files(listing, paper_files.named_files(papers))
+    assert sorted((r.name, r.kind, r.label) for r in chosen.collect()) == [("f.jpg", "figure", "F"), ("z.zip", "supplement", None)]
+    assert chosen._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
