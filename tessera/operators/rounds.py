@@ -58,13 +58,31 @@ class Confirmations:
 
 Fetch = Callable[[DataFrame, int], DataFrame]
 
+#: Keys of a round up to this many go to all tasks; more are joined by a shuffle.
+FEW_KEYS = 100_000
+
+
+def short(keys: DataFrame) -> DataFrame:
+    """keys, marked to go to all tasks if they are few. They are counted for that."""
+    return F.broadcast(keys) if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else keys
+
+
+def _states(seen: DataFrame, got: DataFrame) -> DataFrame:
+    """(key, round, held) of seen (key, round), held where got has the key.
+
+    Rows of both are summed up by key: a join would be pushed below the union of the rounds and go over all of got once for each of them.
+    """
+    rows = seen.select("key", "round", F.lit(False).alias("held")).union(got.select("key", F.lit(None).cast("int"), F.lit(True)))
+    return rows.groupBy("key").agg(F.max("round").alias("round"), F.max("held").alias("held")).filter("round is not null")
+
 
 def breadth_with_retry(roots: DataFrame, fetch: Fetch, named: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(key, round, held): what is reached from the roots over what fetched texts name, with one retry of what failed.
 
-    fetch(keys, attempt) gives (key, raw_text), null for a failure; named(texts) gives (next). Rounds run until they name
+    fetch(keys, attempt) gives (key, raw_text), null or no row for a failure; named(texts) gives (next). Rounds run until they name
     nothing new; then all keys without a text are asked once more, and what those texts name is followed
-    in turn, without another retry. Only a round's new rows are written; earlier rounds stay as they are.
+    in turn, without another retry. Only a round's new rows are written; earlier rounds stay as they are, and
+    of those a short round reads the keys, but shuffles none.
     """
     seen = cut(roots.select("key").distinct().withColumn("round", F.lit(0)))
     frontier, got, depth, retried, attempt = seen.select("key"), None, 0, False, 0
@@ -73,11 +91,16 @@ def breadth_with_retry(roots: DataFrame, fetch: Fetch, named: Callable[[DataFram
         texts = answers.filter("raw_text is not null")
         got = texts.select("key") if got is None else got.union(texts.select("key"))
         depth, attempt = depth + 1, 0
-        new = cut(named(texts).select(F.col("next").alias("key")).distinct().join(seen.select("key"), "key", "left_anti").withColumn("round", F.lit(depth)))
+        stated = cut(named(texts).select(F.col("next").alias("key")).distinct())
+        few = stated.limit(FEW_KEYS + 1).count() <= FEW_KEYS
+        known = seen.select("key").join(F.broadcast(stated), "key", "left_semi") if few else seen.select("key")
+        new = cut(stated.join(known, "key", "left_anti").withColumn("round", F.lit(depth)))
         if not new.isEmpty():
             seen, frontier = seen.union(new), new.select("key")
             continue
-        failed = cut(seen.select("key").join(got, "key", "left_anti"))
-        if retried or failed.isEmpty():
-            return seen.join(got.distinct().withColumn("_got", F.lit(True)), "key", "left").select("key", "round", F.coalesce("_got", F.lit(False)).alias("held"))
+        if retried:
+            return _states(seen, got)
+        failed = cut(_states(seen, got).filter("not held").select("key"))
+        if failed.isEmpty():
+            return _states(seen, got)
         retried, attempt, frontier = True, 1, failed

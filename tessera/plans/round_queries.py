@@ -153,7 +153,7 @@ def breadth_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def fetch(keys: DataFrame, attempt: int) -> DataFrame:
         there = F.when(~F.col("slow") | (F.lit(attempt == 1) & (F.col("o_orderkey") < half)), F.col("text"))
-        return keys.join(site, "key", "left").select("key", there.alias("raw_text"))
+        return site.join(rounds.short(keys), "key").select("key", there.alias("raw_text"))
 
     roots = rows.filter("o_totalprice > 300000").select(_text("GSE{o_orderkey}").alias("key"))
     return rounds.breadth_with_retry(roots, fetch, lambda texts: texts.select(F.explode(packages.subseries(F.col("raw_text"))).alias("next"))).select("key", "held")

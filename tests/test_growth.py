@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import schema, store
-from tessera.operators import paper_files, parts, rules
+from tessera.operators import paper_files, parts, rounds, rules
 from tessera.sources.tables import write_table
 
 
@@ -71,3 +71,25 @@ def test_small_tables_are_dealt_before_they_become_texts(spark, sf_dir):
 
     for made in (build_queries._projects, build_queries._samples, build_queries._packages, round_queries._articles):
         assert made(spark, sf_dir).rdd.getNumPartitions() == build_queries._tasks(spark) == 8
+
+
+def test_a_breadth_of_many_rounds_shuffles_its_states_once(spark):
+    seen = spark.createDataFrame([("a",)], "key string").withColumn("round", F.lit(0))
+    got = seen.select("key").limit(0)
+    for depth in range(1, 6):
+        key = spark.createDataFrame([(f"k{depth}",)], "key string")
+        seen = seen.union(key.withColumn("round", F.lit(depth)))
+        got = got.union(key.filter(F.lit(depth % 2 == 1)))
+    found = rounds._states(seen, got.union(spark.createDataFrame([("unseen",)], "key string")))
+    assert {tuple(r) for r in found.collect()} == {("a", 0, False), ("k1", 1, True), ("k2", 2, False), ("k3", 3, True), ("k4", 4, False), ("k5", 5, True)}
+    assert exchanges(found.filter("not held").select("key")) == 1 and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_a_breadth_is_the_same_with_short_and_long_rounds(spark, monkeypatch, few):
+    monkeypatch.setattr(rounds, "FEW_KEYS", few)
+    texts = spark.createDataFrame([("a", "b c", 0), ("b", "d a", 1), ("c", "a", 0), ("d", "", 0)], "key string, raw_text string, n int")
+    fetch = lambda keys, attempt: texts.join(rounds.short(keys), "key").select("key", F.when(F.col("n") <= attempt, F.col("raw_text")).alias("raw_text"))
+    named = lambda t: t.select(F.explode(F.filter(F.split("raw_text", " "), lambda x: x != "")).alias("next"))
+    found = rounds.breadth_with_retry(spark.createDataFrame([("a",), ("z",)], "key string"), fetch, named)
+    assert {tuple(r) for r in found.collect()} == {("a", 0, True), ("b", 1, True), ("c", 1, True), ("d", 3, True), ("z", 0, False)}
