@@ -100,11 +100,12 @@ def paper_subset(tables: dict[str, DataFrame], links: DataFrame, holdings: DataF
 
     tables has papers (paper, pmid, doi, other_dois, ...) and others with a column paper; what an account did is kept
     without its name. Links count by PMID, DOI or another name of the paper. The second result is (accession, target)
-    of links whose paper the store lacks, so that nothing is left out without a word.
+    of links whose paper the store lacks, so that nothing is left out without a word. Records and papers' names are joined
+    by sorting: estimates go by the size of files, know nothing of a paper's several names, and would pass millions through the driver.
     """
-    held = holdings.filter(F.col("type").isin(*types)).select(F.col("accession").alias("from")).distinct()
+    held = holdings.filter(F.col("type").isin(*types)).select(F.col("accession").alias("from")).distinct().hint("merge")
     stated = links.filter(F.col("relation").isin("PubMed", "DOI")).join(held, "from", "left_semi").select(F.col("from").alias("accession"), F.when(F.col("to").startswith("DOI:"), F.concat(F.lit("DOI:"), doi_of(F.substring("to", 5, 1 << 20)))).otherwise(F.col("to")).alias("target")).distinct()
-    found = stated.join(_names(tables["papers"]), "target", "left")
+    found = stated.join(_names(tables["papers"]).hint("merge"), "target", "left")
     wanted = found.filter("paper is not null").select("paper").distinct()
     kept = {name: df.join(wanted, "paper", "left_semi").select(*(F.lit(None).cast(df.schema[c].dataType).alias(c) if c == "account" else F.col(c) for c in df.columns)) for name, df in tables.items()}
     return kept, found.filter("paper is null").select("accession", "target")

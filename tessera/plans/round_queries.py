@@ -27,10 +27,10 @@ def _tier() -> F.Column:
     return F.create_map(*(F.lit(x) for p in _TIER.items() for x in p))[F.col("l_returnflag")]
 
 
-def _paper_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Parts as papers; lines of high price as attempts, those of the highest as files."""
+def _paper_tables(spark: SparkSession, sf_dir: str, parts: str = "true") -> dict[str, DataFrame]:
+    """Parts, or those of a condition, as papers; lines of high price as attempts, those of the highest as files."""
     size = F.col("p_size")
-    papers = table(spark, sf_dir, "part").select(
+    papers = table(spark, sf_dir, "part").filter(parts).select(
         _text("P{p_partkey}").alias("paper"),
         F.col("p_partkey").cast("long").alias("pmid"),
         F.when(size > 35, _text("PMC{p_partkey}")).alias("pmcid"),
@@ -94,9 +94,7 @@ def replaced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def paper_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A closed copy of the paper tables for the papers that held projects link by PMID, DOI or another DOI, and the links that lead outside."""
-    tables = _paper_tables(spark, sf_dir)
-    sizes = table(spark, sf_dir, "part").filter("p_size > 5").select(_text("P{p_partkey}").alias("paper"))
-    tables["papers"] = tables["papers"].join(sizes, "paper", "left_semi")
+    tables = _paper_tables(spark, sf_dir, "p_size > 5")
     orders = table(spark, sf_dir, "orders")
     lines = table(spark, sf_dir, "lineitem").filter("l_quantity > 30").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     flag = F.col("l_returnflag")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import schema, store
-from tessera.operators import paper_files, parts, rounds, rules
+from tessera.operators import paper_files, parts, rounds, rules, standing
 from tessera.sources.tables import write_table
 
 
@@ -93,3 +93,13 @@ def test_a_breadth_is_the_same_with_short_and_long_rounds(spark, monkeypatch, fe
     named = lambda t: t.select(F.explode(F.filter(F.split("raw_text", " "), lambda x: x != "")).alias("next"))
     found = rounds.breadth_with_retry(spark.createDataFrame([("a",), ("z",)], "key string"), fetch, named)
     assert {tuple(r) for r in found.collect()} == {("a", 0, True), ("b", 1, True), ("c", 1, True), ("d", 3, True), ("z", 0, False)}
+
+
+def test_names_of_papers_do_not_pass_through_the_driver(spark, tmp_path):
+    rows = spark.range(2000).select(F.concat(F.lit("P"), "id").alias("paper"), F.col("id").alias("pmid"), F.concat(F.lit("10.1/"), "id").alias("doi"), F.array(F.concat(F.lit("10.2/"), "id")).alias("other_dois"))
+    rows.write.parquet(str(tmp_path / "papers"))
+    links = spark.createDataFrame([("GSE1", "DOI:10.2/7", "DOI"), ("GSE1", "PMID:9999", "PubMed")], "from string, to string, relation string")
+    held = spark.createDataFrame([("GSE1", "GEO Series")], "accession string, type string")
+    kept, outside = standing.paper_subset({"papers": spark.read.parquet(str(tmp_path / "papers"))}, links, held)
+    assert [r.paper for r in kept["papers"].collect()] == ["P7"] and [tuple(r) for r in outside.collect()] == [("GSE1", "PMID:9999")]
+    assert "Broadcast" not in outside._jdf.queryExecution().executedPlan().toString()
