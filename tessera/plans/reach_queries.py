@@ -112,7 +112,7 @@ def reached_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @add("SELECT 'PRJNA' || o_custkey AS key FROM orders UNION SELECT 'PRJNA7' || o_custkey FROM orders WHERE o_orderstatus = 'O'")
 def linked_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Projects that saved packages and link replies name."""
-    return reach.linked_projects(packages.package_links(_packages(spark, sf_dir)), _saved_links(spark, sf_dir))
+    return reach.linked_projects(packages.package_links(_packages(spark, sf_dir), relations=("BioProject",)), _saved_links(spark, sf_dir))
 
 
 @add("SELECT l_orderkey AS paper, (count(*) FILTER (WHERE l_returnflag IN ('A', 'R') AND l_linestatus <> 'F'))::BIGINT + (count(*) FILTER (WHERE l_returnflag IN ('A', 'R') AND l_linestatus = 'F' AND l_quantity > 25))::BIGINT AS n_held, count(*)::BIGINT AS n_files FROM lineitem GROUP BY 1")

@@ -126,3 +126,11 @@ def test_slices_are_those_of_either_form(spark):
     text = "<P><RUN/><RUN a='/x'>\n<b/></RUN><RUNS>no</RUNS><RUN b='1' /><RUN></RUN><RUN>cut off</P>"
     found = spark.createDataFrame([(text,)], "x string").select(packages.slices(F.col("x"), "RUN").alias("s")).first().s
     assert found == ["<RUN/>", "<RUN a='/x'>\n<b/></RUN>", "<RUN b='1' />", "<RUN></RUN>"]
+
+
+def test_only_wanted_relations_of_packages_are_read(spark):
+    text = '<P><STUDY_REF accession="S"/><STUDY accession="S"><EXTERNAL_ID namespace="BioProject">PR1</EXTERNAL_ID></STUDY><RUN accession="R"/></P>'
+    rows = spark.createDataFrame([("X", text)], "accession string, raw_text string")
+    whole, some = packages.package_links(rows), packages.package_links(rows, relations=("BioProject",))
+    assert {tuple(r)[:3] for r in whole.collect()} == {("X", "S", "study"), ("X", "R", "run"), ("S", "PR1", "BioProject")}
+    assert [tuple(r)[:3] for r in some.collect()] == [("S", "PR1", "BioProject")] and "<RUN" not in some._jdf.queryExecution().optimizedPlan().toString()
