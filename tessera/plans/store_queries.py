@@ -261,7 +261,7 @@ def build_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def family_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed records of line-tagged families: empty values are fields, table lines are none, a table without its end line lasts to the next entity."""
-    found = rules.soft_records(parts.parsed_tagged(_families(spark, sf_dir)))
+    found = rules.soft_records(parts.parsed_tagged(_families(spark, sf_dir), texts=False))
     head = F.coalesce(fl.first_of(F.col("fields"), "Series_title"), fl.first_of(F.col("fields"), "Platform_title"))
     return found.select("accession", "type", "status", "submitted", "updated", "published", F.size("fields").alias("n_fields"), head.alias("head"))
 
@@ -269,7 +269,7 @@ def family_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @add(f"WITH {_STORE_SQL} SELECT f AS \"from\", t AS \"to\", r AS relation, s AS source FROM l WHERE s LIKE 'SOFT%'")
 def family_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of line-tagged families: relation lines of every form, identifiers, papers, and names in addresses."""
-    return rules.soft_links(parts.parsed_tagged(_families(spark, sf_dir))).distinct()
+    return rules.soft_links(parts.parsed_tagged(_families(spark, sf_dir), texts=False)).distinct()
 
 
 @add("""
@@ -291,7 +291,7 @@ def package_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def copies_of_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose copies differ: the copy kept, how many others, and the fields that differ."""
-    found = rules.differing_copies(rules.soft_records(parts.parsed_tagged(_families(spark, sf_dir))))
+    found = rules.differing_copies(rules.soft_records(parts.parsed_tagged(_families(spark, sf_dir), texts=False)))
     d = F.col("detail")
     return found.select("accession", F.regexp_extract(d, r"^([^;]*);", 1).alias("kept"), F.regexp_extract(d, r"; (\d+) other", 1).cast("long").alias("others"), F.regexp_extract(d, r"differ in: (.*)$", 1).alias("names"))
 

@@ -169,3 +169,13 @@ def test_links_of_tagged_texts_come_from_one_pass(spark):
     found = packages.soft_links(rows)
     assert sorted(tuple(r)[:3] for r in found.collect()) == [("GSE1", "GSM1", "sample"), ("GSE1", "GSM2", "sample"), ("GSE1", "PMID:7", "PubMed"), ("GSM1", "GPL1", "platform")]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 1
+
+
+def test_tagged_texts_are_parsed_without_passing_them_on(spark):
+    text = "lost\n^SERIES = GSE1\r\n!Series_title = a = b\n!Series_empty = \n!series_table_begin\n!x = 1\n!series_table_end\n!y = 2\n^SAMPLE = GSM1\n!sample_table_begin\n!z = 3\n^PLATFORM = GPL1\n!p = q"
+    found = parts.tagged_parts(text)
+    assert "lost\n" + "".join(p.text for p in found) == text
+    assert [(p.tag, p.accession, p.fields) for p in found] == [("SERIES", "GSE1", [("Series_title", "a = b"), ("Series_empty", ""), ("y", "2")]), ("SAMPLE", "GSM1", []), ("PLATFORM", "GPL1", [("p", "q")])]
+    rows = spark.createDataFrame([("GSE1", text), ("GSE2", "")], "accession string, raw_text string")
+    whole, short = ({(r.origin, r.n): r for r in parts.parsed_tagged(rows, texts=t).collect()} for t in (True, False))
+    assert len(short) == 4 and all(r.raw_text is None and r.asDict() | {"raw_text": None} == whole[k].asDict() | {"raw_text": None} for k, r in short.items())
