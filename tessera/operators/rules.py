@@ -240,8 +240,8 @@ def repeated_types(records: DataFrame) -> list[str]:
     return sorted(r["type"] for r in n.groupBy("type").agg(F.max("n").alias("n")).filter("n > 1").select("type").collect())
 
 
-def kept_records(records: DataFrame, newest: str = SOFT_TYPES["SAMPLE"]) -> DataFrame:
-    """records with one copy each: the least by kept_rank; of the type newest the latest, where all copies have a date.
+def kept_records(records: DataFrame, newest: str = SOFT_TYPES["SAMPLE"], count: str | None = None) -> DataFrame:
+    """records with one copy each: the least by kept_rank; of the type newest the latest, where all copies have a date. A column count, if named, tells how many there are.
 
     Minima only, so a study that stands in all its packages sends one row from each task, and texts are shuffled once.
     """
@@ -249,9 +249,10 @@ def kept_records(records: DataFrame, newest: str = SOFT_TYPES["SAMPLE"]) -> Data
     row, latest = F.struct(*values), F.col("type") == newest
     first = F.min_by(row, kept_rank(F.lit(False))).alias("plain")
     last = F.min_by(F.when(latest, row), F.when(latest, kept_rank(F.lit(True)))).alias("late")
-    copies = records.groupBy("type", "accession").agg(first, last, F.count_if(F.col("updated").isNull()).alias("undated"))
+    copies = records.groupBy("type", "accession").agg(first, last, F.count_if(F.col("updated").isNull()).alias("undated"), *([F.count("*").alias("_copies")] if count else []))
     kept = F.when(latest & (F.col("undated") == 0), F.col("late")).otherwise(F.col("plain"))
-    return copies.select("type", "accession", kept.alias("r")).select("type", "accession", *(F.col(f"r.{c}").alias(c) for c in ("content_hash", *(v for v in values if v != "content_hash"))))
+    told = [F.col("_copies").alias(count)] if count else []
+    return copies.select("type", "accession", kept.alias("r"), *told).select("type", "accession", *(F.col(f"r.{c}").alias(c) for c in ("content_hash", *(v for v in values if v != "content_hash"))), *([count] if count else []))
 
 
 #: Records of differing copies up to this many go to all tasks; more are joined by a shuffle.

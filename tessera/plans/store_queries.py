@@ -300,8 +300,7 @@ def copies_of_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kept_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copy of each platform that is kept, of as many as families state."""
     found = rules.soft_records(parts.parsed_tagged(_families(spark, sf_dir))).filter("type = 'GEO Platform'")
-    n = found.groupBy("accession").agg(F.count("*").cast("long").alias("n"))
-    kept = rules.kept_records(found).join(n, "accession")
+    kept = rules.kept_records(found, count="n")
     return kept.select(F.substring("accession", 4, 9).cast("long").alias("k"), F.substring("origin", 4, 20).cast("long").alias("origin"), fl.first_of(F.col("fields"), "Platform_title").alias("title"), "n")
 
 

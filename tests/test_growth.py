@@ -179,3 +179,10 @@ def test_tagged_texts_are_parsed_without_passing_them_on(spark):
     rows = spark.createDataFrame([("GSE1", text), ("GSE2", "")], "accession string, raw_text string")
     whole, short = ({(r.origin, r.n): r for r in parts.parsed_tagged(rows, texts=t).collect()} for t in (True, False))
     assert len(short) == 4 and all(r.raw_text is None and r.asDict() | {"raw_text": None} == whole[k].asDict() | {"raw_text": None} for k, r in short.items())
+
+
+def test_kept_copies_are_counted_in_the_same_pass(spark):
+    rows = spark.createDataFrame([("GSE1", "^PLATFORM = GPL1\n!Platform_title = a\n"), ("GSE2", "^PLATFORM = GPL1\n!Platform_title = b\n"), ("GSE3", "^PLATFORM = GPL2\n")], "accession string, raw_text string")
+    found = rules.kept_records(rules.soft_records(parts.parsed_tagged(rows)), count="n")
+    assert {(r.accession, r.origin, r.n) for r in found.collect()} == {("GPL1", "GSE1", 2), ("GPL2", "GSE3", 1)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
