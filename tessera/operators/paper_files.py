@@ -107,7 +107,8 @@ def chosen_files(listing: DataFrame, named: DataFrame) -> DataFrame:
     # a figure is also meant by its own name without ending
     ends = F.concat(F.array(F.struct(F.lit("whole").alias("form"), F.col("href").alias("key"))), F.when(F.col("kind") == "figure", F.array(F.struct(F.lit("stem").alias("form"), stem(F.col("href")).alias("key")))).otherwise(F.array()))
     said = named.select("paper", "kind", "href", "label", "caption", F.explode(ends).alias("e")).select("paper", "kind", "href", "label", "caption", "e.*")
-    found = sought.join(said, ["paper", "form", "key"], "left")
+    # estimates go by the size of files, so that names of many papers would be broadcast through the driver
+    found = sought.join(said.hint("merge"), ["paper", "form", "key"], "left")
     # what is a supplement by name is nothing else; a file has one meaning of each kind
     of = lambda kind: F.min_by(F.when(F.col("kind") == kind, F.struct("href", "label", "caption")), F.when(F.col("kind") == kind, F.struct("rank", "href"))).alias(kind)
     each = found.groupBy("paper", "name").agg(F.max("size").alias("size"), of("supplement"), of("figure"), of("inline"))

@@ -66,6 +66,14 @@ def test_papers_are_read_once_whatever_is_chosen(spark):
     assert chosen._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
 
 
+def test_files_of_papers_do_not_pass_through_the_driver(spark, tmp_path):
+    spark.createDataFrame([("P", "<a xmlns:xlink='x'><fig><graphic xlink:href='f'/></fig></a>")], "paper string, raw_text string").write.parquet(str(tmp_path / "papers"))
+    spark.createDataFrame([("P", "f.gif", 1), ("P", "z.zip", 4)], "paper string, name string, size long").write.parquet(str(tmp_path / "listing"))
+    chosen = paper_files.chosen_files(spark.read.parquet(str(tmp_path / "listing")), paper_files.named_files(spark.read.parquet(str(tmp_path / "papers"))))
+    assert sorted((r.name, r.kind) for r in chosen.collect()) == [("f.gif", "figure"), ("z.zip", "supplement")]
+    assert "Broadcast" not in chosen._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
 def test_small_tables_are_dealt_before_they_become_texts(spark, sf_dir):
     from tessera.plans import build_queries, round_queries
 
