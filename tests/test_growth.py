@@ -228,3 +228,83 @@ def test_packages_of_many_lines_are_dealt_over_more_tasks(spark, sf_dir, monkeyp
     monkeypatch.setattr(build_queries, "TASK_ROWS", 500)
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     assert build_queries._packages(spark, sf_dir).rdd.getNumPartitions() == -(-lines // 500) > 8
+
+
+def rows_of(texts, parse, form_of=None):
+    """Rows of parts by forms, or each text by itself; and how often a text was parsed."""
+    calls = []
+    parser = parts.Parser(lambda t: calls.append(t) or parse(t), form_of or (lambda t: None))
+    rows = parts._Rows()
+    for n, text in enumerate(texts):
+        parser.read(rows, f"o{n}", text)
+    return {k: list(v) for k, v in vars(rows).items()}, len(calls)
+
+
+FORMED = '<P><EXPERIMENT accession="X{0}"><TITLE>t {0}</TITLE> <A b="{1}"/></EXPERIMENT><STUDY accession="{1}"><RUN accession="R{0}">{2}</RUN></STUDY><SUBMISSION center_name="c {0}"/></P>'
+
+
+def test_texts_of_one_form_are_parsed_once():
+    texts = [FORMED.format(n, f"S{n % 3}", "é" * (1 + n)) for n in range(50)]
+    found, calls = rows_of(texts, lambda t: parts.xml_parts(t, rules.PACKAGE), parts._markup_form)
+    assert calls == 1 and found == rows_of(texts, lambda t: parts.xml_parts(t, rules.PACKAGE))[0] and found["texts"][1] == texts[0]
+    tagged = [f"^SERIES = GSE{n}\n!Series_title = {'a = ' * (n % 4)}\n!Series_empty =\n!sample_table_begin\n!x = {n}\n^SAMPLE = GSM{n}\r\n!y = \n" for n in range(50)]
+    found, calls = rows_of(tagged, parts.tagged_parts, parts._lines_form)
+    assert calls == 1 and found == rows_of(tagged, parts.tagged_parts)[0] and found["values"][0] == ""
+
+
+@pytest.mark.parametrize("value", ["", " ", "a b ", "&amp;", "&", "<", ">", '"', "'", "\n", "\r", "\t", "\0", "\x1c", "\x0b", "￾", "0", "]]>", "<b/>", "<!-- \"c\" -->", "<b c=\"d\">e</b>", '" x="', "<?p?>", "&#65;", " "])
+def test_odd_values_are_read_as_without_forms(value):
+    plain = FORMED.format(1, "S", "g")
+    whole = [plain, *(FORMED.format(*(value if k == n else "v" for k in range(3))) for n in range(3)), plain.replace("<P>", f"<?xml version='1.0'?><P>{value}"), plain.replace("</P>", value), plain.replace('"', "'")]
+    for shape in (rules.PACKAGE, parts.Shape(wanted=("TITLE", "RUN"), texts=("RUN",), plain=("TITLE",), bare=("RUN",))):
+        assert rows_of(whole * 2, lambda t: parts.xml_parts(t, shape), parts._markup_form)[0] == rows_of(whole * 2, lambda t: parts.xml_parts(t, shape))[0]  # noqa: B023
+    lines = ["^SERIES = v\n!a = w\nlost = 1\n", f"^SERIES = {value}\n!a = w\nlost = 1\n", f"^SERIES = v\n!a = {value}\nlost = 1\n", f"{value}^SERIES = v\n!a = w\nlost = {value}\n"]
+    assert rows_of(lines * 2, parts.tagged_parts, parts._lines_form)[0] == rows_of(lines * 2, parts.tagged_parts)[0]
+
+
+def test_links_of_parsed_packages_come_from_one_pass(spark):
+    rows = spark.createDataFrame([("X1", FORMED.format(1, "S", "g").replace("<RUN", '<EXTERNAL_ID namespace="BioProject"> PR1 </EXTERNAL_ID><EXTERNAL_ID namespace="GEO">no</EXTERNAL_ID><RUN').replace("<TITLE>", '<STUDY_REF accession="S"/><TITLE>'))], "accession string, raw_text string")
+    found = rules.package_links(parts.parsed_xml(rows, rules.PACKAGE))
+    assert sorted(tuple(r) for r in found.collect()) == [("S", "PR1", "BioProject", "SRA XML"), ("S", "R1", "run", "SRA XML"), ("X1", "S", "study", "SRA XML")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_rows_are_made_once_where_ranges_come_from_keys(spark, tmp_path, monkeypatch):
+    from tessera.sources import tables
+
+    monkeypatch.setattr(tables, "RANGE_ROWS", 50)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    keys = spark.range(999).select(F.concat(F.lit("k"), F.col("id") % 700).alias("accession")).union(spark.createDataFrame([(None,)], "accession string"))
+    rows = keys.mapInArrow(count, "accession string").withColumn("type", F.lit("t"))
+    write_table(rows, schema.HOLDINGS, str(tmp_path / "held"), within=lambda r: r.groupBy(tables.RANGE, "accession").agg(F.first("type").alias("type")), keys=keys)
+    found = spark.read.parquet(str(tmp_path / "held")).select("accession", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n")).orderBy("f", "n").collect()
+    names = [r.accession for r in found]
+    assert made.value == 1000 and names == [*sorted(f"k{n}" for n in range(700)), None] and len({r.f for r in found}) > 10
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 99])
+def test_ranges_of_keys_are_found(spark, n):
+    from tessera.sources.tables import range_of
+
+    bounds = [f"{k:03}" for k in range(10, 10 + n)]
+    rows = spark.createDataFrame([(f"{k:03}",) for k in range(120)] + [("010x",), ("é",), (None,)], "k string")
+    group, number = range_of(F.col("k"), bounds)
+    assert all(r.at == (n + 1 if r.k is None else sum(b <= r.k for b in bounds)) for r in rows.withColumn("_group", group).withColumn("at", number).collect())
+
+
+def test_listings_stay_in_their_rows_and_are_read_once(spark):
+    line = "{}\t{}\t01/02/2020 03:04:05\t1\tTXT"
+    text = "\r\n".join(["#head", line.format("File", "f0"), line.format("Archive", "a1"), line.format("File", "f1"), "Archive\tshort", line.format("File", "f2"), line.format("Archive", "a2"), line.format("File", "f1"), ""])
+    listed = rules.listed_files(spark.createDataFrame([("GSE1", text), ("GSE2", line.format("File", "f3"))], "accession string, raw_text string"))
+    assert {r.name: r.archive for r in listed.collect()} == {"f0": None, "a1": None, "f1": "a2", "f2": "a1", "a2": None, "f3": None}
+    assert "Window" not in listed._jdf.queryExecution().optimizedPlan().toString()
+    named = spark.createDataFrame([("GSE7", "f1", "ftp://f1"), ("GSE8", "x", "ftp://x")], "owner string, name string, url string")
+    found = rules.supplementary(named, listed)
+    assert {(r.name, r.owner, r.url, r.archive) for r in found.collect()} == {("f1", "GSE7", "ftp://f1", "a2"), ("x", "GSE8", "ftp://x", None), ("f0", "GSE1", None, None), ("a1", "GSE1", None, None), ("f2", "GSE1", None, "a1"), ("a2", "GSE1", None, None), ("f3", "GSE2", None, None)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("posexplode(split(text") == 1
