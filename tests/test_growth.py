@@ -308,3 +308,15 @@ def test_listings_stay_in_their_rows_and_are_read_once(spark):
     found = rules.supplementary(named, listed)
     assert {(r.name, r.owner, r.url, r.archive) for r in found.collect()} == {("f1", "GSE7", "ftp://f1", "a2"), ("x", "GSE8", "ftp://x", None), ("f0", "GSE1", None, None), ("a1", "GSE1", None, None), ("f2", "GSE1", None, "a1"), ("a2", "GSE1", None, None), ("f3", "GSE2", None, None)}
     assert found._jdf.queryExecution().optimizedPlan().toString().count("posexplode(split(text") == 1
+
+
+def test_links_are_dealt_over_more_tasks_where_there_are_many(spark, tmp_path, monkeypatch):
+    from .test_build import sources
+
+    from tessera.operators import build
+    from tessera.sources import tables
+
+    monkeypatch.setattr(build, "LINK_ROWS", 2)
+    monkeypatch.setattr(tables, "SMALL_ROWS", 1)
+    held = build.build(spark, str(tmp_path), "v1", sources(spark), "2024-01-01").table(schema.LINKS_BY_FROM)
+    assert held.select(F.input_file_name()).distinct().count() > 4 and held.count() == held.distinct().count() > 10
